@@ -4,39 +4,31 @@
 smallest under all remaining columns (in the given order, ascending, nulls last), so the
 result is a function of the input *set*, not of file order or partitioning.
 
-Plan: one hash shuffle on the key with **map-side partial aggregation** of
-``min(struct(...))``. A hot key (a third of all rows) is first reduced to one row per map
-task, so no task ever sees the whole group; ``row_number`` over a window would instead ship
-and sort every duplicate in one task.
+Plan: ``row_number() = 1`` over the key. Spark plans it as a **partial** ``WindowGroupLimit``
+before the shuffle (each map task keeps only its best row per key, so a hot key holding a
+third of all rows is reduced to one row per task before it moves), then the exchange on the
+key, then the final ``WindowGroupLimit``. Sorts are code-generated; no aggregation buffer of
+wide structs is compared row by row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PICK = "__keep"
+_RN = "__rn"
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys``: the smallest by ``order`` (default: every non-key column in
-    schema order), each ascending with nulls last. Column order of ``df`` is kept."""
+    schema order), each ascending with nulls last; columns not named in ``order`` break any
+    remaining tie in schema order. Column order of ``df`` is kept."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
-    # (is_null, value) pairs give "nulls last" under struct ordering; columns not in the
-    # order are carried as payload after it.
-    fields = []
-    for i, c in enumerate(order):
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    fields += [F.col(c).alias(f"p{j}") for j, c in enumerate(tail)]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias(_PICK))
-    out = {k: F.col(k) for k in keys}
-    for i, c in enumerate(order):
-        out[c] = F.col(f"{_PICK}.v{i}").alias(c)
-    for j, c in enumerate(tail):
-        out[c] = F.col(f"{_PICK}.p{j}").alias(c)
-    return picked.select(*[out[c].alias(c) for c in df.columns])
+    by = [F.col(c).asc_nulls_last() for c in order + tail]
+    w = Window.partitionBy(*keys).orderBy(*by) if by else Window.partitionBy(*keys).orderBy(F.lit(0))
+    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

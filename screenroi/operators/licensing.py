@@ -11,20 +11,28 @@ then, among the licences of the chosen year, the one whose region equals the usa
 else the smallest licence region; then the smallest cost. Titles without any licence drop
 out (``how="inner"``) or keep null licence columns (``how="left"``).
 
-Plan (no pair emission)
------------------------
+Plan (no pair emission, no join)
+--------------------------------
 A join of usage and licences on the title alone followed by ``row_number`` multiplies every
-usage group by every licence of its title. Instead:
+usage group by every licence of its title. Instead, everything happens inside one
+hash-partitioning by title:
 
-* the year choice is an **as-of join**: usage groups and the title's distinct licence years are
-  unioned and ordered by year inside the title; ``last(..., ignorenulls)`` looking back gives the
-  exact-or-earlier year, ``first(..., ignorenulls)`` looking forward gives the later one. A title
-  partition holds only its distinct licence years and its (region, year) usage groups, both
-  already aggregated, so a hot title is still a small partition;
-* the region choice is two **equi-joins** on pre-aggregated licence tables: the exact region
-  (title, year, region) and the per-(title, year) fallback (smallest region, then cost).
-Every step is a hash shuffle on aggregated data; AQE broadcasts a side only when its measured
-size is under the broadcast threshold.
+* licences are reduced to ``exact`` = (title, year, region) -> smallest cost (hash
+  aggregation, map-side partial aggregation) and ``by_year`` = (title, year) -> smallest
+  region and its cost (top-1 per group, reduced map-side by a partial ``WindowGroupLimit``);
+* usage groups, ``by_year`` rows and ``exact`` rows are unioned and shuffled **once** by title;
+* window 1 (per title, by year) is the **as-of join** for the year: ``last(..., ignorenulls)``
+  looking back gives the exact-or-earlier year, ``first(..., ignorenulls)`` looking forward
+  the later one (undated licences sort after everything, so they are reached only when no
+  dated year exists). The looked-up value is the whole ``by_year`` struct, so the fallback
+  region and cost arrive with the year;
+* window 2 (per title and region, by year) looks back from each usage row, placed at its
+  chosen year, to the ``exact`` row of its own region: if that row has the chosen year, its
+  region is preferred. Hash partitioning by title already clusters (title, region), so this
+  second window only re-sorts locally.
+A title partition holds its distinct licence years, its (region, year) licences and its
+(region, year) usage groups, all aggregated, so even a title with a third of all plays is a
+small partition.
 """
 
 from __future__ import annotations
@@ -59,72 +67,64 @@ def pick_license(usage: DataFrame, licensing: DataFrame, how: str = "inner") ->
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    lic = licensing.select("title_id", *LICENCE_COLUMNS)
-
-    # 1. As-of year choice inside each title.
-    dated_years = (
-        lic.filter(F.col("license_year").isNotNull())
-        .select("title_id", F.col("license_year").alias("__y"))
-        .distinct()
-        .withColumn("__kind", F.lit(0))
-        .withColumn("__lic_year", F.col("__y"))
-    )
-    usage_rows = usage.withColumn("__y", F.col("year")).withColumn("__kind", F.lit(1))
-    both = usage_rows.unionByName(dated_years, allowMissingColumns=True)
-    # Licence rows sort before usage rows of the same year, so "looking back" includes the
-    # exact year; usage rows with a null year sort last and look back to the latest licence.
-    in_title = Window.partitionBy("title_id").orderBy(F.col("__y").asc_nulls_last(), F.col("__kind"))
-    back = F.last("__lic_year", ignorenulls=True).over(
-        in_title.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cost = F.col("license_cost_usd_millions")
+    # min() skips nulls, which is "smallest cost, nulls last" for one column.
+    exact = licensing.groupBy("title_id", "license_year", "license_region").agg(
+        F.min(cost).alias("license_cost_usd_millions")
     )
-    ahead = F.first("__lic_year", ignorenulls=True).over(
-        in_title.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    first_region = Window.partitionBy("title_id", "license_year").orderBy(
+        F.col("license_region").asc_nulls_last(), cost.asc_nulls_last()
     )
-    with_year = (
-        both.withColumn("__best_year", F.coalesce(back, ahead))
-        .filter(F.col("__kind") == 1)
-        .drop("__y", "__kind", "__lic_year")
+    # Row kinds and their slot among rows of the same year inside a title:
+    #   0 dated by_year row, 1 usage row, 2 undated by_year row (after all usage rows),
+    #   3 exact row (ignored by window 1; placed before usage rows in window 2).
+    by_year_rows = (
+        exact.withColumn("__rn", F.row_number().over(first_region))
+        .filter(F.col("__rn") == 1)
+        .select(
+            "title_id",
+            F.col("license_year").alias("__y"),
+            F.when(F.col("license_year").isNull(), F.lit(2)).otherwise(F.lit(0)).alias("__kind"),
+            F.struct(
+                F.col("license_year").alias("year"), F.col("license_region").alias("region"), cost.alias("cost")
+            ).alias("__lic"),
+        )
     )
-
-    # 2. Region choice among the licences of the chosen year.
-    exact = lic.groupBy("title_id", "license_year", "license_region").agg(
-        F.min(
-            F.struct(F.col("license_cost_usd_millions").isNull().alias("n"),
-                     F.col("license_cost_usd_millions").alias("c"))
-        ).alias("__exact")
+    exact_rows = exact.select(
+        "title_id",
+        F.col("license_region").alias("region"),
+        F.col("license_year").alias("__y"),
+        F.lit(3).alias("__kind"),
+        F.struct(F.col("license_year").alias("year"), cost.alias("cost")).alias("__ex"),
     )
-    fallback = lic.groupBy("title_id", "license_year").agg(
-        F.min(
-            F.struct(
-                F.col("license_region").isNull().alias("nr"),
-                F.col("license_region").alias("r"),
-                F.col("license_cost_usd_millions").isNull().alias("nc"),
-                F.col("license_cost_usd_millions").alias("c"),
-            )
-        ).alias("__first")
+    usage_rows = usage.withColumn("__y", F.col("year")).withColumn("__kind", F.lit(1))
+    rows = usage_rows.unionByName(by_year_rows, allowMissingColumns=True).unionByName(
+        exact_rows, allowMissingColumns=True
     )
-    u = with_year.alias("u")
-    e = exact.alias("e")
-    f = fallback.alias("f")
-    picked = u.join(
-        e,
-        (F.col("u.title_id") == F.col("e.title_id"))
-        & F.col("u.__best_year").eqNullSafe(F.col("e.license_year"))
-        & (F.col("u.region") == F.col("e.license_region")),
-        "left",
-    ).join(
-        f,
-        (F.col("u.title_id") == F.col("f.title_id"))
-        & F.col("u.__best_year").eqNullSafe(F.col("f.license_year")),
-        how,
+
+    # Window 1: the chosen licence year (with its fallback region and cost) per usage row.
+    in_title = Window.partitionBy("title_id").orderBy(F.col("__y").asc_nulls_last(), F.col("__kind"))
+    back = F.last("__lic", ignorenulls=True).over(in_title.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.first("__lic", ignorenulls=True).over(in_title.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumn(
+        "__pick", F.when(F.col("__kind") == 1, F.coalesce(back, ahead))
+    ).filter(F.col("__kind").isin(1, 3))
+
+    # Window 2: per (title, region), usage rows sit at their chosen year, after exact rows of
+    # the same year; looking back finds the exact-region licence of that year if any.
+    slot_year = F.when(F.col("__kind") == 1, F.col("__pick.year")).otherwise(F.col("__y"))
+    slot_kind = F.when(F.col("__kind") == 1, F.lit(1)).otherwise(F.lit(0))
+    in_region = Window.partitionBy("title_id", "region").orderBy(slot_year.asc_nulls_last(), slot_kind)
+    prior_exact = F.last("__ex", ignorenulls=True).over(
+        in_region.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    has_exact = F.col("e.title_id").isNotNull()
-    usage_cols = [F.col(f"u.{c}") for c in usage.columns]
-    return picked.select(
-        *usage_cols,
-        F.when(has_exact, F.col("u.region")).otherwise(F.col("f.__first.r")).alias("license_region"),
-        F.when(has_exact, F.col("e.__exact.c")).otherwise(F.col("f.__first.c")).alias(
-            "license_cost_usd_millions"
-        ),
-        F.col("f.license_year").alias("license_year"),
+    rows = rows.withColumn("__prior", prior_exact).filter(F.col("__kind") == 1)
+    if how == "inner":
+        rows = rows.filter(F.col("__pick").isNotNull())
+    same_year = F.col("__prior").isNotNull() & F.col("__prior.year").eqNullSafe(F.col("__pick.year"))
+    return rows.select(
+        *usage.columns,
+        F.when(same_year, F.col("region")).otherwise(F.col("__pick.region")).alias("license_region"),
+        F.when(same_year, F.col("__prior.cost")).otherwise(F.col("__pick.cost")).alias("license_cost_usd_millions"),
+        F.col("__pick.year").alias("license_year"),
     )

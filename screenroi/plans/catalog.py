@@ -21,7 +21,7 @@ from ..operators.models import content_performance_mart, stg_licensing, stg_movi
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles
 from ..operators.warehouse import (
-    fact_rows, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
+    Warehouse, fact_rows, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
 )
 from ..session import scratch_path
@@ -101,6 +101,26 @@ class Flow:
     def mart(self) -> DataFrame:
         return content_performance_mart(self.fact, self.dim_title, self.dim_region, self.dim_date)
 
+    # -- the loaded star schema (written once to the shared scratch folder) ----------------
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        """Create the four tables, then load the staging data once (staging is checkpointed:
+        the four inserts read it without recomputing the joins)."""
+        wh = Warehouse(self.spark, scratch_path(self.spark, "warehouse"))
+        wh.create()
+        wh.load(self.staging.checkpoint(eager=True))
+        return wh
+
+    def table(self, name: str) -> DataFrame:
+        return self.warehouse.table(name)
+
+    @cached_property
+    def loaded_mart(self) -> DataFrame:
+        return content_performance_mart(
+            self.table("fact_content_performance"), self.table("dim_title"),
+            self.table("dim_region"), self.table("dim_date"),
+        )
+
 
 def _flow(spark: SparkSession, sf_dir: str) -> Flow:
     return Flow(spark, sf_dir)
@@ -225,27 +245,27 @@ def q_fact_reload_idempotent(spark, sf_dir):
 
 # -- models ----------------------------------------------------------------------------------
 def q_stg_movies(spark, sf_dir):
-    return stg_movies(_flow(spark, sf_dir).dim_title)
+    return stg_movies(_flow(spark, sf_dir).table("dim_title"))
 
 
 def q_stg_user_behavior(spark, sf_dir):
-    return stg_user_behavior(_flow(spark, sf_dir).fact)
+    return stg_user_behavior(_flow(spark, sf_dir).table("fact_content_performance"))
 
 
 def q_stg_licensing(spark, sf_dir):
-    return stg_licensing(_flow(spark, sf_dir).fact)
+    return stg_licensing(_flow(spark, sf_dir).table("fact_content_performance"))
 
 
 def q_content_performance_mart(spark, sf_dir):
-    return _flow(spark, sf_dir).mart
+    return _flow(spark, sf_dir).loaded_mart
 
 
 def q_roi_flag_counts(spark, sf_dir):
-    return _flow(spark, sf_dir).mart.groupBy("roi_flag").agg(F.count(F.lit(1)).alias("n"))
+    return _flow(spark, sf_dir).loaded_mart.groupBy("roi_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_churn_flag(spark, sf_dir):
-    return _flow(spark, sf_dir).mart.select("performance_id", "churn_rate_post_title", "high_churn_risk")
+    return _flow(spark, sf_dir).loaded_mart.select("performance_id", "churn_rate_post_title", "high_churn_risk")
 
 
 # -- titles -------------------------------------------------------------------------------------
@@ -260,7 +280,8 @@ def q_distinct_title_ids(spark, sf_dir):
 # -- quality --------------------------------------------------------------------------------------
 def q_dq_report(spark, sf_dir):
     f = _flow(spark, sf_dir)
-    return check_all(f.fact, f.dim_title, f.dim_region, f.dim_date)
+    return check_all(f.table("fact_content_performance"), f.table("dim_title"), f.table("dim_region"),
+                     f.table("dim_date"))
 
 
 def q_dq_duplicates(spark, sf_dir):
@@ -270,7 +291,8 @@ def q_dq_duplicates(spark, sf_dir):
 
 def q_dq_referential(spark, sf_dir):
     f = _flow(spark, sf_dir)
-    return referential_checks(f.fact, f.dim_title, f.dim_region, f.dim_date)
+    return referential_checks(f.table("fact_content_performance"), f.table("dim_title"),
+                              f.table("dim_region"), f.table("dim_date"))
 
 
 # -- sources, sinks and round trips (write to the shared scratch folder, read back) -----

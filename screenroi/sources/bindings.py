@@ -32,17 +32,45 @@ EVENT_REGIONS = ("US", "CA", "GB", "IN", "BR", "MX", "DE", "JP")
 EVENT_DEVICES = ("TV", "Mobile", "Tablet", "Web", "Game Console")
 
 
+# Inputs smaller than this are never rebalanced (a shuffle would cost more than it saves).
+REBALANCE_MIN_BYTES = 4 << 20
+
+
+def _total_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def read_balanced(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan that still runs on every core when the input cannot be split.
+
+    A file with a single row group is read by one task, and so is every narrow step after
+    it up to the first shuffle. When a table has fewer files than the cluster has cores and
+    is large enough to matter, rows are spread round-robin once. On a real table (thousands
+    of files) the condition is false and the scan is left as it is."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores and _total_bytes(spark, path) >= REBALANCE_MIN_BYTES:
+        return df.repartition(cores)
+    return df
+
+
 class Tables:
     """Lazy access to the parquet tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = read_balanced(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
 
 def _geo(t: Tables) -> DataFrame:

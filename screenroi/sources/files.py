@@ -27,6 +27,19 @@ RAW_DATASETS = {
 }
 
 
+def _csv_writer(df: DataFrame, mode: str):
+    """Headered CSV that round-trips text exactly: quotes doubled, blanks kept (Spark trims
+    leading and trailing blanks on write unless told not to)."""
+    return (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
 def _csv_reader(spark: SparkSession, multiline: bool):
     reader = spark.read.option("header", True).option("inferSchema", False)
     if multiline:
@@ -62,16 +75,8 @@ def read_raw_zone(spark: SparkSession, root: str, dataset: str, year: int | None
 def land_raw(df: DataFrame, root: str, dataset: str, year: int, month: int) -> str:
     """Append rows to ``root/dataset/year=Y/month=MM/`` as headered CSV."""
     path = f"{root.rstrip('/')}/{dataset}"
-    (
-        df.withColumn("year", F.lit(int(year)))
-        .withColumn("month", F.lpad(F.lit(str(int(month))), 2, "0"))
-        .write.mode("append")
-        .partitionBy("year", "month")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    staged = df.withColumn("year", F.lit(int(year))).withColumn("month", F.lpad(F.lit(str(int(month))), 2, "0"))
+    _csv_writer(staged, "append").partitionBy("year", "month").csv(path)
     return path
 
 
@@ -97,4 +102,4 @@ def write_content_performance(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Headered CSV, replaced as a whole."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    _csv_writer(df, "overwrite").csv(path)

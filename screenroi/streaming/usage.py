@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.domain import normalize_region
 from ..operators.metrics import prepare_usage, usage_by_title_region_year
-from ..sources.events import PLAY_EVENT_SCHEMA, read_play_events
+from ..sources.events import read_play_events
 
 PLAY = "play"
 
@@ -97,18 +97,24 @@ def start_usage_refresh(spark: SparkSession, source: str, landing: str, output:
     events = read_play_events(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{landing}/batch_id={batch_id}")
-        fresh = spark.read.parquet(f"{landing}/batch_id={batch_id}")
-        touched = usage_by_title_region_year(prepare_usage(events_to_watch(fresh))).select(
-            "title_id", "region", "year"
-        )
-        years = touched.select("year").distinct()
-        landed = spark.read.schema(PLAY_EVENT_SCHEMA).parquet(landing)
-        prepared = prepare_usage(events_to_watch(landed))
-        # Prune to the touched years first, then to the touched groups (semi joins).
-        scoped = prepared.join(years, "year", "left_semi").join(
-            touched, ["title_id", "region", "year"], "left_semi"
+        # 1. Land the micro-batch in its own folder (overwritten if the batch is replayed),
+        #    partitioned by event year so later recounts read only the years they need.
+        target = f"{landing}/batch_id={batch_id}"
+        batch.withColumn("event_year", F.year("timestamp")).write.mode("overwrite").partitionBy(
+            "event_year"
+        ).parquet(target)
+        # 2. The (title, region, year) groups this batch touched.
+        touched = (
+            prepare_usage(events_to_watch(spark.read.parquet(target).drop("event_year")))
+            .filter(F.col("title_id").isNotNull() & F.col("watch_duration_mins").isNotNull())
+            .select("title_id", "region", "year")
+            .distinct()
         )
+        # 3. Exact usage of those groups over everything landed so far: the semi join on the
+        #    year partition column lets Spark prune partitions at run time.
+        years = touched.select(F.col("year").alias("event_year")).distinct()
+        landed = spark.read.parquet(landing).join(years, "event_year", "left_semi")
+        scoped = prepare_usage(events_to_watch(landed)).join(touched, ["title_id", "region", "year"], "left_semi")
         usage_by_title_region_year(scoped).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)

@@ -1,0 +1,83 @@
+"""The as-of licence pick against a brute-force statement of the rule."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from screenroi.operators.licensing import pick_license
+
+from conftest import rows
+
+USAGE = "title_id string, region string, year int, total_watch_hours double, unique_viewers long"
+LIC = "title_id string, license_region string, license_cost_usd_millions double, license_year int"
+
+
+def brute_force(usage, lic):
+    """Join on title, rank every pair, keep the first (the direct formulation)."""
+    u, l = usage.alias("u"), lic.alias("l")
+    uy, ly = F.col("u.year"), F.col("l.license_year")
+    w = Window.partitionBy("u.title_id", "u.region", "u.year").orderBy(
+        F.when(ly == uy, 0).when(ly <= uy, 1).when(ly.isNotNull(), 2).otherwise(3),
+        F.when(ly.isNull(), 999999).otherwise(F.abs(ly - uy)).asc_nulls_first(),
+        ly.desc_nulls_last(),
+        F.when(F.col("l.license_region") == F.col("u.region"), 0).otherwise(1),
+        F.col("l.license_region").asc_nulls_last(),
+        F.col("l.license_cost_usd_millions").asc_nulls_last(),
+    )
+    j = u.join(l, F.col("u.title_id") == F.col("l.title_id")).withColumn("rn", F.row_number().over(w))
+    return j.filter("rn = 1").select("u.*", "l.license_region", "l.license_cost_usd_millions", "l.license_year")
+
+
+def test_fixture_cases(spark):
+    usage = spark.createDataFrame([
+        ("exact", "US", 2020, 1.0, 1), ("past", "US", 2020, 1.0, 1), ("future", "US", 2020, 1.0, 1),
+        ("undated", "US", 2020, 1.0, 1), ("regions", "US", 2020, 1.0, 1), ("regions", "JP", 2020, 1.0, 1),
+        ("none", "US", 2020, 1.0, 1), ("nullyear", "US", None, 1.0, 1), ("mixed", "US", 2015, 1.0, 1),
+        ("onlyundated", "US", None, 1.0, 1),
+    ], USAGE)
+    lic = spark.createDataFrame([
+        ("exact", "GB", 5.0, 2020), ("exact", "US", 9.0, 2019), ("exact", "US", 7.0, 2021),
+        ("past", "US", 1.0, 2015), ("past", "US", 2.0, 2018),
+        ("future", "US", 3.0, 2022), ("future", "US", 4.0, 2025),
+        ("undated", "GB", 1.0, None), ("undated", "CA", 2.0, None),
+        ("regions", "GB", 1.0, 2020), ("regions", "US", 8.0, 2020), ("regions", "CA", 0.5, 2020),
+        ("regions", "US", 6.0, 2020),
+        ("nullyear", "US", 1.0, 2001), ("nullyear", "US", 2.0, 2010), ("nullyear", "US", 3.0, None),
+        ("mixed", "US", 1.0, None), ("mixed", "US", 2.0, 2016),
+        ("onlyundated", "BR", 1.0, None),
+    ], LIC)
+    got = {r.title_id + "/" + r.region: (r.license_region, r.license_cost_usd_millions, r.license_year)
+           for r in pick_license(usage, lic).collect()}
+    assert got == {
+        "exact/US": ("GB", 5.0, 2020),
+        "past/US": ("US", 2.0, 2018),
+        "future/US": ("US", 3.0, 2022),
+        "undated/US": ("CA", 2.0, None),
+        "regions/US": ("US", 6.0, 2020),
+        "regions/JP": ("CA", 0.5, 2020),
+        "nullyear/US": ("US", 2.0, 2010),
+        "mixed/US": ("US", 2.0, 2016),
+        "onlyundated/US": ("BR", 1.0, None),
+    }
+    assert rows(pick_license(usage, lic)) == rows(brute_force(usage, lic))
+    left = {r.title_id: r.license_year for r in pick_license(usage, lic, how="left").collect()}
+    assert "none" in left and left["none"] is None
+
+
+regions = st.sampled_from(["US", "GB", "CA", ""])
+years = st.one_of(st.none(), st.integers(2000, 2006))
+usage_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), regions, years), max_size=12, unique=True)
+lic_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", "d"]), regions, st.one_of(st.none(), st.integers(1, 9)).map(
+        lambda v: None if v is None else float(v)), years),
+    max_size=14,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(usage_rows, lic_rows)
+def test_matches_brute_force(spark, u, l):
+    usage = spark.createDataFrame([(t, r, y, 1.0, 1) for t, r, y in u], USAGE)
+    lic = spark.createDataFrame(l, LIC)
+    assert rows(pick_license(usage, lic)) == rows(brute_force(usage, lic))

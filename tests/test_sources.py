@@ -1,0 +1,82 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from screenroi.operators.cleaners import clean_review_sentiment
+from screenroi.operators.titles import distinct_title_ids, license_grid, normalize_titles, parse_regions
+from screenroi.sources.events import land_play_events, read_play_events
+from screenroi.sources.files import (
+    land_raw, read_curated, read_raw_csv, read_raw_zone, write_content_performance, write_csv, write_curated,
+)
+
+
+def test_raw_zone_partitions_and_pruning(spark, scratch):
+    df = spark.createDataFrame([("a", "007"), ("b", " x ")], "id string, code string")
+    land_raw(df, scratch, "movies", 2024, 3)
+    land_raw(df.limit(1), scratch, "movies", 2024, 4)
+    march = read_raw_zone(spark, scratch, "movies", year=2024, month=3)
+    assert sorted((r.id, r.code) for r in march.collect()) == [("a", "007"), ("b", " x ")]  # text kept as written
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert read_raw_zone(spark, scratch, "movies").count() == 3
+    every = read_raw_csv(spark, f"{scratch}/movies")
+    assert set(every.columns) == {"id", "code"}  # recursive lookup: no partition columns
+    with pytest.raises(FileNotFoundError):
+        read_raw_zone(spark, scratch, "users")
+
+
+def test_multiline_csv_roundtrip(spark, scratch):
+    text = 'line one\nsaid "hi", then left\n  indented  '
+    df = spark.createDataFrame([("t1", "positive", text), ("t1", "0", "short")], "title_id string, sentiment string, review string")
+    write_csv(df, f"{scratch}/reviews")
+    back = read_raw_csv(spark, f"{scratch}/reviews", multiline=True)
+    assert sorted(r.review for r in back.collect()) == sorted([text, "short"])
+    (r,) = clean_review_sentiment(back).collect()
+    assert r.review_count == 2 and r.avg_review_length == (len(text) + 5) / 2
+
+
+def test_curated_sinks(spark, scratch):
+    df = spark.createDataFrame([("q1", "US"), ("q2", None), ("q3", "")], "search_id string, region string")
+    write_curated(df, f"{scratch}/search", ["region"])
+    back = read_curated(spark, f"{scratch}/search")
+    assert sorted((r.search_id, r.region) for r in back.collect()) == [("q1", "US"), ("q2", None), ("q3", None)]
+    assert any(n.startswith("region=__HIVE_DEFAULT_PARTITION__") for n in os.listdir(f"{scratch}/search"))
+    cp = spark.createDataFrame([("p1", "US", 2024), ("p2", "GB", 2023)], "performance_id string, region string, year int")
+    write_content_performance(cp, f"{scratch}/cp")
+    back = spark.read.parquet(f"{scratch}/cp")
+    assert set(back.columns) == {"performance_id", "region", "year", "region_partition", "year_partition"}
+    pruned = back.filter(F.col("region_partition") == "US")
+    assert [r.performance_id for r in pruned.collect()] == ["p1"]
+    import pyarrow.parquet as pq
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(f"{scratch}/cp") for f in fs if f.endswith(".parquet")]
+    assert "region" in pq.read_schema(files[0]).names  # originals stay inside the files
+
+
+def test_play_events(spark, scratch):
+    ev = spark.createDataFrame([
+        ("u_1", "tt1", "play", 30, "2024-03-01T10:00:00", "US", "TV"),
+        ("u_2", "tt1", "pause", 5, "2024-03-02T23:59:59", "GB", "Web"),
+    ], "user_id string, title_id string, event string, watch_duration_mins int, timestamp string, region string, device string")
+    land_play_events(ev, scratch)
+    assert os.path.isdir(f"{scratch}/year=2024/month=03/day=01")
+    back = read_play_events(spark, scratch)
+    got = sorted((r.user_id, r.timestamp) for r in back.collect())
+    assert got == [("u_1", dt.datetime(2024, 3, 1, 10, 0)), ("u_2", dt.datetime(2024, 3, 2, 23, 59, 59))]
+
+
+def test_title_grid_and_lookup(spark):
+    raw = spark.createDataFrame([
+        (" 1 ", " A ", "TV Show"), ("1", "B", "movie"), ("2", "  ", "series"), (None, "C", "tv"), ("3", "D", None),
+    ], "` id ` string, name string, media_type string")
+    titles = normalize_titles(raw)
+    assert sorted(tuple(r) for r in titles.collect()) == [("1", "A", "series"), ("3", "D", "movie")]
+    assert [r.title_id for r in normalize_titles(raw, max_titles=1).collect()] == ["1"]
+    grid = license_grid(titles, "us, ca,,gb ", license_year=2025)
+    assert grid.count() == 6
+    r = grid.filter("title_id = '1' and region = 'CA'").first()
+    assert (r.cost_min_usd, r.cost_max_usd, r.license_year) == (3_000_000, 25_000_000, 2025)
+    assert parse_regions("us, ca,,gb ") == ["US", "CA", "GB"]
+    ids = spark.createDataFrame([(1,), (1,), (None,), (2,)], "imdb_id int")
+    assert sorted(r.title_id for r in distinct_title_ids(ids).collect()) == ["1", "2"]

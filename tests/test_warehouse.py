@@ -1,0 +1,100 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from screenroi.operators.metrics import CONTENT_PERFORMANCE_SCHEMA
+from screenroi.operators.models import content_performance_mart, stg_licensing
+from screenroi.operators.quality import check_all, duplicate_keys
+from screenroi.operators.warehouse import (
+    FACT_SCHEMA, Warehouse, load_staging, new_fact_rows, title_rollup,
+)
+
+
+def curated(spark, rows):
+    base = {f.name: None for f in CONTENT_PERFORMANCE_SCHEMA.fields}
+    data = [tuple({**base, **r}[f.name] for f in CONTENT_PERFORMANCE_SCHEMA.fields) for r in rows]
+    return spark.createDataFrame(data, CONTENT_PERFORMANCE_SCHEMA)
+
+
+ROWS = [
+    dict(performance_id="p1", title_id="t1", region="US", year=2024, total_watch_hours=100.0, unique_viewers=3,
+         license_cost_usd_millions=0.004, cost_per_hour_watched=0.00004, title_name="B", genre="Drama",
+         is_netflix_original=None, sentiment_score=0.5, duration_minutes=90.126),
+    dict(performance_id="p2", title_id="t1", region="", year=2023, total_watch_hours=10.0, unique_viewers=1,
+         license_cost_usd_millions=0.5, cost_per_hour_watched=0.05, title_name="A", genre="Comedy",
+         is_netflix_original=True),
+    dict(performance_id="p3", title_id="t2", region="FR", year=None, total_watch_hours=1.0),
+    dict(performance_id="p4", title_id="t3", region=None, year=2022, total_watch_hours=0.0,
+         license_cost_usd_millions=1.0, cost_per_hour_watched=None),
+    dict(performance_id="p4", title_id="t3", region=None, year=2022, total_watch_hours=0.0),
+]
+
+
+def test_staging_scales_costs_and_takes_churn(spark):
+    churn = spark.createDataFrame([("t1", "US", 2024, 0.31)], "title_id string, region string, year int, churn_rate_post_title double")
+    st = load_staging(curated(spark, ROWS), churn=churn)
+    p1 = st.filter("performance_id = 'p1'").first()
+    assert abs(p1.license_cost_usd - 4000.0) < 1e-6 and abs(p1.cost_per_hour_watched - 40.0) < 1e-6
+    assert p1.churn_rate_post_title == 0.31
+    assert len(st.columns) == 25
+
+
+def test_title_rollup_mixes_max_per_column(spark):
+    st = load_staging(curated(spark, ROWS))
+    got = {r.title_id: r for r in title_rollup(st).collect()}
+    assert got["t1"].title_name == "B" and got["t1"].genre == "Drama" and got["t1"].is_netflix_original is True
+    assert got["t1"].duration_minutes == Decimal("90.13")
+    assert got["t3"].is_netflix_original is False
+
+
+def test_load_is_insert_if_absent(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    wh.create()
+    wh.create()  # idempotent
+    st = load_staging(curated(spark, ROWS))
+    first = wh.load(st)
+    assert first == {"dim_title": 3, "dim_region": 1, "dim_date": 3, "fact_content_performance": 4}
+    again = wh.load(st)
+    assert again == {"dim_title": 0, "dim_region": 0, "dim_date": 0, "fact_content_performance": 0}
+    regions = {r.region_code for r in wh.table("dim_region").collect()}
+    assert regions == {"US", "CA", "GB", "IN", "BR", "MX", "DE", "JP", "UNKNOWN", "FR"}
+    fact = wh.table("fact_content_performance")
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in FACT_SCHEMA]
+    # Duplicates inside one batch are kept (and reported); p3 has no year and is skipped.
+    assert sorted(r.performance_id for r in fact.collect()) == ["p1", "p2", "p4", "p4"]
+    assert duplicate_keys(fact, "performance_id").first().n == 2
+    # A later load never updates an existing title.
+    changed = load_staging(curated(spark, [dict(performance_id="p9", title_id="t1", region="US", year=2025, title_name="Z")]))
+    wh.load(changed)
+    assert wh.table("dim_title").filter("title_id = 't1'").first().title_name == "B"
+    d = {r.date_id: r for r in wh.table("dim_date").collect()}
+    assert d[20250101].full_date == dt.date(2025, 1, 1) and d[20250101].month_name == "January"
+
+
+def test_dedupe_option(spark):
+    st = load_staging(curated(spark, ROWS))
+    assert new_fact_rows(st, None).count() == 4
+    assert new_fact_rows(st, None, dedupe=True).count() == 3
+
+
+def test_mart_and_quality(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    wh.create()
+    churn = spark.createDataFrame([("t1", "US", 2024, 0.31)], "title_id string, region string, year int, churn_rate_post_title double")
+    wh.load(load_staging(curated(spark, ROWS), churn=churn))
+    t = {n: wh.table(n) for n in ("fact_content_performance", "dim_title", "dim_region", "dim_date")}
+    mart = content_performance_mart(t["fact_content_performance"], t["dim_title"], t["dim_region"], t["dim_date"])
+    got = {(r.performance_id, r.roi_flag, r.high_churn_risk, r.region_name) for r in mart.collect()}
+    assert ("p1", "medium ROI", True, "United States") in got
+    assert ("p2", "low ROI", False, "Unknown") in got  # 50000 USD/hour; seeded name
+    assert stg_licensing(t["fact_content_performance"]).columns == [
+        "performance_id", "title_id", "region_code", "date_id", "license_cost_usd"]
+    report = {r.rule: (r.violations, r.passed) for r in check_all(*t.values(), min_rows=3).collect()}
+    assert report["performance_id_unique"] == (1, False)
+    assert report["fact_row_count_above_3"] == (0, True)
+    assert report["fact_title_in_dim_title"] == (0, True)
+    assert report["fact_region_in_dim_region"] == (0, True)
+    assert report["dim_region_region_code_unique"] == (0, True)
+    small = {r.rule: r.violations for r in check_all(t["fact_content_performance"], min_rows=1000).collect()}
+    assert small["fact_row_count_above_1000"] == 1001 - 4

@@ -83,6 +83,20 @@ def license_grid(titles: DataFrame, regions: str | Iterable[str] = DEFAULT_REGIO
     )
 
 
+def title_ids_from_first(spark, paths: Sequence[str]) -> DataFrame:
+    """Distinct title ids from the first raw dataset folder that exists (e.g. licensing, then
+    movies). Raises ``FileNotFoundError`` when none exists (no built-in fallback list)."""
+    from ..sources.files import read_raw_csv
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        if hpath.getFileSystem(conf).exists(hpath):
+            return distinct_title_ids(read_raw_csv(spark, path))
+    raise FileNotFoundError(f"None of the title sources exists: {list(paths)}")
+
+
 def distinct_title_ids(df: DataFrame) -> DataFrame:
     """Non-null distinct ids (as strings) of the first present id column."""
     col = first_column(df.columns, LOOKUP_ID_SYNONYMS)

@@ -281,6 +281,12 @@ class Warehouse:
                     f"LOCATION '{self.path(name)}'"
                 )
 
+    def sources(self) -> dict[str, DataFrame]:
+        """Named source tables for the models (catalog tables when registered)."""
+        if self.database:
+            return {n: self.spark.table(f"{self.database}.{n}") for n in TABLE_SCHEMAS}
+        return {n: self.table(n) for n in TABLE_SCHEMAS}
+
     def load(self, staging: DataFrame, dedupe_facts: bool = False) -> dict[str, int]:
         """Append new dims, then new facts. Returns rows appended per table.
 

@@ -24,7 +24,7 @@ from ..operators.warehouse import (
     Warehouse, fact_rows, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
 )
-from ..session import scratch_path
+from ..session import scratch_path, scratch_root
 from ..sources import bindings as b
 from ..sources.events import land_play_events, read_play_events
 from ..sources.files import land_raw, read_raw_csv, read_raw_zone, write_content_performance, write_csv
@@ -76,9 +76,16 @@ class Flow:
         return content_performance(self.watch, self.licensing, self.movies, self.sentiment)
 
     # -- warehouse -----------------------------------------------------------------------
+    @cached_property
+    def curated_watch(self) -> DataFrame:
+        """The cleaned watch history as the pipeline stores it: materialised once (reliable
+        checkpoint) because both usage and the churn input read it."""
+        return self.watch.checkpoint(eager=True)
+
     @cached_property
     def staging(self) -> DataFrame:
-        return load_staging(self.content_performance, churn=b.churn_input(self.watch))
+        cp = content_performance(self.curated_watch, self.licensing, self.movies, self.sentiment)
+        return load_staging(cp, churn=b.churn_input(self.curated_watch))
 
     @cached_property
     def dim_title(self) -> DataFrame:
@@ -123,6 +130,7 @@ class Flow:
 
 
 def _flow(spark: SparkSession, sf_dir: str) -> Flow:
+    scratch_root(spark)  # reliable checkpoints go to the shared scratch folder
     return Flow(spark, sf_dir)
 
 

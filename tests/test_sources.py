@@ -80,3 +80,23 @@ def test_title_grid_and_lookup(spark):
     assert parse_regions("us, ca,,gb ") == ["US", "CA", "GB"]
     ids = spark.createDataFrame([(1,), (1,), (None,), (2,)], "imdb_id int")
     assert sorted(r.title_id for r in distinct_title_ids(ids).collect()) == ["1", "2"]
+
+
+def test_title_ids_from_first_existing(spark, scratch):
+    from screenroi.operators.titles import title_ids_from_first
+
+    spark.createDataFrame([("m1",), ("m2",)], "id string").write.option("header", True).csv(f"{scratch}/movies")
+    ids = title_ids_from_first(spark, [f"{scratch}/licensing", f"{scratch}/movies"])
+    assert sorted(r.title_id for r in ids.collect()) == ["m1", "m2"]
+    with pytest.raises(FileNotFoundError):
+        title_ids_from_first(spark, [f"{scratch}/nothing"])
+
+
+def test_catalog_registration(spark, scratch):
+    from screenroi.operators.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"{scratch}/wh", database="analytics_test")
+    wh.create()
+    src = wh.sources()
+    assert src["dim_region"].count() == 9
+    assert spark.sql("SELECT count(*) AS n FROM analytics_test.dim_region").first().n == 9

@@ -10,7 +10,7 @@ dimensions are appended before the fact, each step idempotent (a failed run is r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -263,10 +263,14 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(self.path(name))
 
-    def _append(self, df: DataFrame, name: str, sort_by: list[str] | None = None) -> None:
+    def _append(self, df: DataFrame, name: str, sort_by: list[str] | None = None) -> int:
+        """Append ``df`` and return how many rows were written, observed during the write
+        itself (no second pass over the data or the table)."""
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("append").parquet(self.path(name))
+        seen = Observation(f"append_{name}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path(name))
+        return int(seen.get.get("rows", 0))
 
     def create(self) -> None:
         for name, schema in TABLE_SCHEMAS.items():
@@ -305,8 +309,6 @@ class Warehouse:
             ),
         ]
         for name, rows, sort_by in steps:
-            before = self.table(name).count()
-            self._append(rows(), name, sort_by)
-            added[name] = self.table(name).count() - before
+            added[name] = self._append(rows(), name, sort_by)
         return added
 

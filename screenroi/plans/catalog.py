@@ -21,12 +21,12 @@ from ..operators.models import content_performance_mart, stg_licensing, stg_movi
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles
 from ..operators.warehouse import (
-    Warehouse, fact_rows, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
+    Warehouse, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
 )
 from ..session import scratch_path, scratch_root
 from ..sources import bindings as b
-from ..sources.events import land_play_events, read_play_events
+from ..sources.events import land_play_events
 from ..sources.files import land_raw, read_raw_csv, read_raw_zone, write_content_performance, write_csv
 from ..streaming.usage import events_to_watch, read_latest, start_daily_usage_stream, start_usage_refresh
 

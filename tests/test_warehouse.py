@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from screenroi.operators.metrics import CONTENT_PERFORMANCE_SCHEMA
 from screenroi.operators.models import content_performance_mart, stg_licensing

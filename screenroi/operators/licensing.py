@@ -11,28 +11,26 @@ then, among the licences of the chosen year, the one whose region equals the usa
 else the smallest licence region; then the smallest cost. Titles without any licence drop
 out (``how="inner"``) or keep null licence columns (``how="left"``).
 
-Plan (no pair emission, no join)
---------------------------------
+Plan (no pair emission, no join, one shuffle)
+---------------------------------------------
 A join of usage and licences on the title alone followed by ``row_number`` multiplies every
-usage group by every licence of its title. Instead, everything happens inside one
-hash-partitioning by title:
-
-* licences are reduced to ``exact`` = (title, year, region) -> smallest cost (hash
-  aggregation, map-side partial aggregation) and ``by_year`` = (title, year) -> smallest
-  region and its cost (top-1 per group, reduced map-side by a partial ``WindowGroupLimit``);
-* usage groups, ``by_year`` rows and ``exact`` rows are unioned and shuffled **once** by title;
-* window 1 (per title, by year) is the **as-of join** for the year: ``last(..., ignorenulls)``
-  looking back gives the exact-or-earlier year, ``first(..., ignorenulls)`` looking forward
-  the later one (undated licences sort after everything, so they are reached only when no
-  dated year exists). The looked-up value is the whole ``by_year`` struct, so the fallback
-  region and cost arrive with the year;
-* window 2 (per title and region, by year) looks back from each usage row, placed at its
-  chosen year, to the ``exact`` row of its own region: if that row has the chosen year, its
-  region is preferred. Hash partitioning by title already clusters (title, region), so this
-  second window only re-sorts locally.
-A title partition holds its distinct licence years, its (region, year) licences and its
-(region, year) usage groups, all aggregated, so even a title with a third of all plays is a
-small partition.
+usage group by every licence of its title. Instead:
+
+* licences are reduced once to ``exact`` = (title, year, region) -> smallest cost (hash
+  aggregation with map-side partial aggregation);
+* usage groups and ``exact`` rows are unioned and shuffled **once** by title. Three windows
+  follow, all clustered by title, so Spark only re-sorts locally between them:
+  - window 0, per (title, year) of the licence rows, marks the row with the smallest region
+    (then cost): the fallback licence of that year;
+  - window 1, per title by year, is the **as-of join**: ``last(..., ignorenulls)`` over the
+    marked rows looking back gives the exact-or-earlier year, ``first(..., ignorenulls)``
+    looking forward the later one (undated licences sort after everything, so they are reached
+    only when no dated year exists). The looked-up struct carries the fallback region and cost;
+  - window 2, per (title, region) by year, looks back from each usage row, placed at its
+    chosen year, to the licence row of its own region: if that row has the chosen year, the
+    usage region is preferred.
+A title partition holds its (region, year) licences and its (region, year) usage groups, all
+aggregated, so even a title with a third of all plays is a small partition.
 """
 
 from __future__ import annotations
@@ -69,56 +67,45 @@ def pick_license(usage: DataFrame, licensing: DataFrame, how: str = "inner") ->
         raise ValueError("how must be 'inner' or 'left'")
     cost = F.col("license_cost_usd_millions")
     # min() skips nulls, which is "smallest cost, nulls last" for one column.
-    exact = licensing.groupBy("title_id", "license_year", "license_region").agg(
-        F.min(cost).alias("license_cost_usd_millions")
-    )
-    first_region = Window.partitionBy("title_id", "license_year").orderBy(
-        F.col("license_region").asc_nulls_last(), cost.asc_nulls_last()
-    )
-    # Row kinds and their slot among rows of the same year inside a title:
-    #   0 dated by_year row, 1 usage row, 2 undated by_year row (after all usage rows),
-    #   3 exact row (ignored by window 1; placed before usage rows in window 2).
-    by_year_rows = (
-        exact.withColumn("__rn", F.row_number().over(first_region))
-        .filter(F.col("__rn") == 1)
-        .select(
-            "title_id",
-            F.col("license_year").alias("__y"),
-            F.when(F.col("license_year").isNull(), F.lit(2)).otherwise(F.lit(0)).alias("__kind"),
-            F.struct(
-                F.col("license_year").alias("year"), F.col("license_region").alias("region"), cost.alias("cost")
-            ).alias("__lic"),
-        )
-    )
-    exact_rows = exact.select(
+    exact = licensing.groupBy("title_id", "license_year", "license_region").agg(F.min(cost).alias("__cost"))
+    lic_rows = exact.select(
         "title_id",
         F.col("license_region").alias("region"),
         F.col("license_year").alias("__y"),
-        F.lit(3).alias("__kind"),
-        F.struct(F.col("license_year").alias("year"), cost.alias("cost")).alias("__ex"),
+        F.lit(0).alias("__kind"),
+        F.struct(
+            F.col("license_year").alias("year"), F.col("license_region").alias("region"), F.col("__cost").alias("cost")
+        ).alias("__lic"),
     )
     usage_rows = usage.withColumn("__y", F.col("year")).withColumn("__kind", F.lit(1))
-    rows = usage_rows.unionByName(by_year_rows, allowMissingColumns=True).unionByName(
-        exact_rows, allowMissingColumns=True
+    rows = usage_rows.unionByName(lic_rows, allowMissingColumns=True)
+    is_lic = F.col("__kind") == 0
+
+    # Window 0: the fallback licence of each (title, year) is its smallest region, then cost.
+    in_year = Window.partitionBy("title_id", "__kind", "__y").orderBy(
+        F.col("__lic.region").asc_nulls_last(), F.col("__lic.cost").asc_nulls_last()
     )
+    rows = rows.withColumn("__first", is_lic & (F.row_number().over(in_year) == 1))
+
+    # Window 1: the chosen licence year per usage row. Slots among rows of one year: dated
+    # fallback licence (0) before usage (1); undated fallback licence (2) after every usage
+    # row, null-year usage included.
+    slot1 = F.when(~is_lic, F.lit(1)).when(F.col("__y").isNull(), F.lit(2)).otherwise(F.lit(0))
+    in_title = Window.partitionBy("title_id").orderBy(F.col("__y").asc_nulls_last(), slot1)
+    fallback = F.when(F.col("__first"), F.col("__lic"))
+    back = F.last(fallback, ignorenulls=True).over(in_title.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.first(fallback, ignorenulls=True).over(in_title.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumn("__pick", F.when(~is_lic, F.coalesce(back, ahead)))
 
-    # Window 1: the chosen licence year (with its fallback region and cost) per usage row.
-    in_title = Window.partitionBy("title_id").orderBy(F.col("__y").asc_nulls_last(), F.col("__kind"))
-    back = F.last("__lic", ignorenulls=True).over(in_title.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.first("__lic", ignorenulls=True).over(in_title.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    rows = rows.withColumn(
-        "__pick", F.when(F.col("__kind") == 1, F.coalesce(back, ahead))
-    ).filter(F.col("__kind").isin(1, 3))
-
-    # Window 2: per (title, region), usage rows sit at their chosen year, after exact rows of
-    # the same year; looking back finds the exact-region licence of that year if any.
-    slot_year = F.when(F.col("__kind") == 1, F.col("__pick.year")).otherwise(F.col("__y"))
-    slot_kind = F.when(F.col("__kind") == 1, F.lit(1)).otherwise(F.lit(0))
-    in_region = Window.partitionBy("title_id", "region").orderBy(slot_year.asc_nulls_last(), slot_kind)
-    prior_exact = F.last("__ex", ignorenulls=True).over(
+    # Window 2: per (title, region), usage rows sit at their chosen year after the licence
+    # rows of that year; looking back finds the same-region licence of that year if any.
+    slot_year = F.when(is_lic, F.col("__y")).otherwise(F.col("__pick.year"))
+    slot2 = F.when(is_lic, F.lit(0)).otherwise(F.lit(1))
+    in_region = Window.partitionBy("title_id", "region").orderBy(slot_year.asc_nulls_last(), slot2)
+    same_region = F.last(F.when(is_lic, F.col("__lic")), ignorenulls=True).over(
         in_region.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = rows.withColumn("__prior", prior_exact).filter(F.col("__kind") == 1)
+    rows = rows.withColumn("__prior", same_region).filter(~is_lic)
     if how == "inner":
         rows = rows.filter(F.col("__pick").isNotNull())
     same_year = F.col("__prior").isNotNull() & F.col("__prior.year").eqNullSafe(F.col("__pick.year"))

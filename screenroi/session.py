@@ -46,12 +46,17 @@ def scratch_root(spark: SparkSession) -> str:
     If neither is set, a folder below ``spark.sql.warehouse.dir`` is chosen and installed
     as the context's checkpoint dir, so ``DataFrame.checkpoint`` uses the same place.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context; the server's conf rules
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         configured = warehouse.rstrip("/") + "/_screenroi_scratch"
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 

@@ -51,10 +51,12 @@ def read_balanced(spark: SparkSession, path: str) -> DataFrame:
     is large enough to matter, rows are spread round-robin once. On a real table (thousands
     of files) the condition is false and the scan is left as it is."""
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores and _total_bytes(spark, path) >= REBALANCE_MIN_BYTES:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        small_input = len(df.inputFiles()) < cores and _total_bytes(spark, path) >= REBALANCE_MIN_BYTES
+    except Exception:  # no local context (remote session): leave the scan as it is
+        return df
+    return df.repartition(cores) if small_input else df
 
 
 class Tables:

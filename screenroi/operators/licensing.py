@@ -78,7 +78,9 @@ def pick_license(usage: DataFrame, licensing: DataFrame, how: str = "inner") ->
         ).alias("__lic"),
     )
     usage_rows = usage.withColumn("__y", F.col("year")).withColumn("__kind", F.lit(1))
-    rows = usage_rows.unionByName(lic_rows, allowMissingColumns=True)
+    # The one shuffle: every window below is clustered by title, so hash partitioning by
+    # title satisfies all three and Spark only sorts locally between them.
+    rows = usage_rows.unionByName(lic_rows, allowMissingColumns=True).repartition("title_id")
     is_lic = F.col("__kind") == 0
 
     # Window 0: the fallback licence of each (title, year) is its smallest region, then cost.

@@ -87,10 +87,6 @@ class Flow:
         cp = content_performance(self.curated_watch, self.licensing, self.movies, self.sentiment)
         return load_staging(cp, churn=b.churn_input(self.curated_watch))
 
-    @cached_property
-    def dim_title(self) -> DataFrame:
-        return new_dim_title_rows(self.staging, None)
-
     @cached_property
     def dim_region(self) -> DataFrame:
         seed = seed_regions(self.spark)
@@ -104,10 +100,6 @@ class Flow:
     def fact(self) -> DataFrame:
         return new_fact_rows(self.staging, None)
 
-    @cached_property
-    def mart(self) -> DataFrame:
-        return content_performance_mart(self.fact, self.dim_title, self.dim_region, self.dim_date)
-
     # -- the loaded star schema (written once to the shared scratch folder) ----------------
     @cached_property
     def warehouse(self) -> Warehouse:

@@ -42,9 +42,6 @@ from ..functions.casts import cast_column
 from ..functions.domain import normalize_region
 from ..functions.names import snake_case_columns
 
-LICENCE_COLUMNS = ("license_region", "license_cost_usd_millions", "license_year")
-
-
 def prepare_licensing(curated: DataFrame) -> DataFrame:
     """Curated licensing -> (title_id, license_region normalised, cost in millions, year)."""
     df = snake_case_columns(curated)

@@ -54,11 +54,9 @@ def main() -> None:
         cpus,
         shuffle_partitions=2 * cpus,
         app="screenroi-bench",
-        extra={
-            "spark.checkpoint.dir": f"{scratch}/checkpoints",
-            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-            "spark.driver.memory": "16g",
-        },
+        # spark.checkpoint.dir comes from the environment when it names one; otherwise the
+        # library falls back to a folder below this run's warehouse dir.
+        extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse", "spark.driver.memory": "16g"},
     )
     run_once(spark, "content_performance", sf_dir)  # warm-up (JIT, file listing caches)
     per_query = {}

@@ -19,11 +19,13 @@ def spark():
         "4",
         shuffle_partitions=8,
         app="screenroi-tests",
-        extra={
-            "spark.checkpoint.dir": f"{SCRATCH}/checkpoints",
-            "spark.sql.warehouse.dir": f"{SCRATCH}/warehouse",
-        },
+        # spark.checkpoint.dir is left to the environment; scratch_root() installs a folder
+        # below this warehouse dir only when the environment names none.
+        extra={"spark.sql.warehouse.dir": f"{SCRATCH}/warehouse"},
     )
+    from screenroi.session import scratch_root
+
+    scratch_root(s)
     yield s
     s.stop()
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.domain import SERIES_WORDS_WIDE, content_type, guarded_ratio, normalize_region, performance_key
 from ..operators import cleaners
 from ..operators.licensing import pick_license, prepare_licensing
-from ..operators.metrics import conform, content_performance, prepare_usage, usage_by_title_region_year
+from ..operators.metrics import (
+    conform, content_performance, licence_gate_counts, prepare_usage, usage_by_title_region_year,
+)
 from ..operators.models import content_performance_mart, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles
@@ -27,7 +29,9 @@ from ..operators.warehouse import (
 from ..session import scratch_path, scratch_root
 from ..sources import bindings as b
 from ..sources.events import land_play_events
-from ..sources.files import land_raw, read_raw_csv, read_raw_zone, write_content_performance, write_csv
+from ..sources.files import (
+    land_raw, read_curated, read_raw_csv, read_raw_zone, write_content_performance, write_csv, write_curated,
+)
 from ..streaming.usage import events_to_watch, read_latest, start_daily_usage_stream, start_usage_refresh
 
 # Fixed test inputs for the scalar-mapping queries: spellings assigned to rows by key.
@@ -210,7 +214,16 @@ def q_output_conformance(spark, sf_dir):
     return conform(_flow(spark, sf_dir).licensed)
 
 
+def q_licence_gate(spark, sf_dir):
+    """The one-row summary the job checks before writing (rows, rows with a cost)."""
+    return licence_gate_counts(_flow(spark, sf_dir).content_performance)
+
+
 # -- warehouse load ------------------------------------------------------------------------
+def q_staging_load(spark, sf_dir):
+    return _flow(spark, sf_dir).staging
+
+
 def q_dim_title_rollup(spark, sf_dir):
     return title_rollup(_flow(spark, sf_dir).staging)
 
@@ -303,6 +316,14 @@ def q_partition_pruned_read(spark, sf_dir):
     return read.filter((F.col("region_partition") == "AMERICA") & (F.col("year_partition") == 1998))
 
 
+def q_search_logs_partitioned(spark, sf_dir):
+    """Cleaned search logs written partitioned by region and read back through partition
+    discovery (the region column comes back from the folder names)."""
+    path = scratch_path(spark, "search_logs")
+    write_curated(cleaners.clean_search_logs(b.search_logs_raw(b.Tables(spark, sf_dir))), path, ["region"])
+    return read_curated(spark, path)
+
+
 def q_raw_csv_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "raw_zone")
     land_raw(b.watch_history_raw(b.Tables(spark, sf_dir)), root, "watch_history", 2024, 3)
@@ -360,6 +381,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_performance_core": q_content_performance_core,
     "content_performance": q_content_performance,
     "output_conformance": q_output_conformance,
+    "licence_gate": q_licence_gate,
+    "staging_load": q_staging_load,
     "dim_title_rollup": q_dim_title_rollup,
     "dim_title_insert_if_absent": q_dim_title_insert_if_absent,
     "dim_region_load": q_dim_region_load,
@@ -379,6 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicates": q_dq_duplicates,
     "dq_referential": q_dq_referential,
     "play_events_usage": q_play_events_usage,
+    "search_logs_partitioned": q_search_logs_partitioned,
     "raw_csv_roundtrip": q_raw_csv_roundtrip,
     "multiline_csv_roundtrip": q_multiline_csv_roundtrip,
     "stream_daily_usage": q_stream_daily_usage,

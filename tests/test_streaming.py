@@ -22,7 +22,10 @@ def _events(spark, offset=0):
 def test_stream_equals_batch(spark, scratch):
     src = f"{scratch}/src"
     land_play_events(_events(spark), src)
-    q = start_daily_usage_stream(spark, src, f"{scratch}/out", f"{scratch}/ckpt", max_files_per_trigger=1)
+    # Files are picked up in no guaranteed order, one per micro-batch; a watermark longer than
+    # the data's span means no event is late, so the stream must equal the batch result.
+    q = start_daily_usage_stream(spark, src, f"{scratch}/out", f"{scratch}/ckpt", watermark="30 days",
+                                 max_files_per_trigger=1)
     q.awaitTermination()
     keys = ["window_start", "window_end", "title_id", "region"]
     streamed = read_latest(spark, f"{scratch}/out", keys)
@@ -31,6 +34,20 @@ def test_stream_equals_batch(spark, scratch):
     assert streamed.filter(F.col("region") == "US").count() > 0
 
 
+def test_watermark_drops_late_days(spark, scratch):
+    src = f"{scratch}/src"
+    ev = _events(spark)
+    land_play_events(ev.filter(F.col("timestamp").startswith("2024-03-04")), src)
+    args = (spark, src, f"{scratch}/out", f"{scratch}/ckpt")
+    start_daily_usage_stream(*args, watermark="1 day").awaitTermination()
+    # Day 1 arrives after day 4 was seen: it is more than a day behind the watermark.
+    land_play_events(ev.filter(F.col("timestamp").startswith("2024-03-01")), src)
+    start_daily_usage_stream(*args, watermark="1 day").awaitTermination()
+    days = {r.window_start.day for r in read_latest(spark, f"{scratch}/out",
+                                                    ["window_start", "window_end", "title_id", "region"]).collect()}
+    assert days == {4}
+
+
 def test_refresh_stream_is_exact_and_replay_safe(spark, scratch):
     src = f"{scratch}/src"
     land_play_events(_events(spark), src)

@@ -21,14 +21,14 @@ from ..operators.metrics import (
 )
 from ..operators.models import content_performance_mart, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
-from ..operators.titles import distinct_title_ids, license_grid, normalize_titles
+from ..operators.titles import distinct_title_ids, license_grid, normalize_titles, title_ids_from_first
 from ..operators.warehouse import (
     Warehouse, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
 )
 from ..session import scratch_path, scratch_root
 from ..sources import bindings as b
-from ..sources.events import land_play_events
+from ..sources.events import land_play_events, read_play_events
 from ..sources.files import (
     land_raw, read_curated, read_raw_csv, read_raw_zone, write_content_performance, write_csv, write_curated,
 )
@@ -290,6 +290,14 @@ def q_distinct_title_ids(spark, sf_dir):
     return distinct_title_ids(b.licensing_raw(b.Tables(spark, sf_dir)))
 
 
+def q_title_ids_first_source(spark, sf_dir):
+    """Title ids from the first raw source that exists: the licensing CSV is landed, the
+    folder looked up before it is absent, so the lookup falls through to licensing."""
+    root = scratch_path(spark, "title_sources")
+    write_csv(b.licensing_raw(b.Tables(spark, sf_dir)), f"{root}/licensing")
+    return title_ids_from_first(spark, [f"{root}/missing", f"{root}/licensing", f"{root}/movies"])
+
+
 # -- quality --------------------------------------------------------------------------------------
 def q_dq_report(spark, sf_dir):
     f = _flow(spark, sf_dir)
@@ -342,6 +350,12 @@ def q_play_events_usage(spark, sf_dir):
     return usage_by_title_region_year(prepare_usage(events_to_watch(events)))
 
 
+def q_play_events_batch(spark, sf_dir):
+    """Usage from play events landed as JSON Lines and read back in batch."""
+    root = _landed_events(spark, sf_dir)
+    return usage_by_title_region_year(prepare_usage(events_to_watch(read_play_events(spark, root))))
+
+
 def _landed_events(spark, sf_dir) -> str:
     root = scratch_path(spark, "play_events")
     land_play_events(b.play_events_raw(b.Tables(spark, sf_dir)), root)
@@ -397,11 +411,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "churn_flag": q_churn_flag,
     "license_grid": q_license_grid,
     "distinct_title_ids": q_distinct_title_ids,
+    "title_ids_first_source": q_title_ids_first_source,
     "partition_pruned_read": q_partition_pruned_read,
     "dq_report": q_dq_report,
     "dq_duplicates": q_dq_duplicates,
     "dq_referential": q_dq_referential,
     "play_events_usage": q_play_events_usage,
+    "play_events_batch": q_play_events_batch,
     "search_logs_partitioned": q_search_logs_partitioned,
     "raw_csv_roundtrip": q_raw_csv_roundtrip,
     "multiline_csv_roundtrip": q_multiline_csv_roundtrip,

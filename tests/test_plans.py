@@ -15,7 +15,8 @@ SIDE_EFFECTS = {"partition_pruned_read", "raw_csv_roundtrip", "multiline_csv_rou
                 "stream_usage_refresh", "stg_movies", "stg_user_behavior", "stg_licensing",
                 "content_performance_mart", "roi_flag_counts", "churn_flag", "dq_report", "dq_referential",
                 "fact_load", "fact_reload_idempotent", "dim_title_rollup", "dim_title_insert_if_absent",
-                "dim_region_load", "dim_date_load", "staging_load", "search_logs_partitioned"}
+                "dim_region_load", "dim_date_load", "staging_load", "search_logs_partitioned", "title_ids_first_source",
+                "play_events_batch"}
 
 
 def physical(df) -> str:

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from screenroi.llm.common import read_table
 from screenroi.llm.exact_dedup import exact_dedup
+from screenroi.llm.quality_rules import quality_rules
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
 }
 

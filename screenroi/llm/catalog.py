@@ -8,20 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from screenroi.llm.common import read_table
 from screenroi.llm.exact_dedup import exact_dedup
+from screenroi.llm.packing import pack_documents
 from screenroi.llm.quality_rules import quality_rules
+from screenroi.llm.token_files import token_files
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_token_files": op3_token_files,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +44,19 @@ def row_keys() -> list[Column]:
         F.coalesce(F.col("doc_id"), F.lit(0)).alias("__id"),
         F.xxhash64(text_or_empty(), F.col("doc_id").isNull()).alias("__key"),
     ]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark deliver this package to the executors, for operators that run Python there."""
+    sc = spark.sparkContext
+    archive = os.path.join(sc._temp_dir, "screenroi.zip")  # Spark's own folder on the driver
+    if os.path.exists(archive):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)

@@ -10,6 +10,7 @@ from screenroi.llm.common import read_table
 from screenroi.llm.exact_dedup import exact_dedup
 from screenroi.llm.packing import pack_documents
 from screenroi.llm.quality_rules import quality_rules
+from screenroi.llm.simhash import simhash_dedup
 from screenroi.llm.token_files import token_files
 
 
@@ -29,11 +30,16 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {

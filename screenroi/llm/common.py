@@ -60,3 +60,11 @@ def ship_package(spark: SparkSession) -> None:
                     path = os.path.join(folder, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(package)))
     sc.addPyFile(archive)
+
+
+def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """``docs`` less the documents whose :func:`row_keys` are in ``keys`` (or only them, by
+    ``left_semi``), with all columns. Spark broadcasts ``keys`` if it proves small."""
+    own = docs.withColumns({"__doc_" + name: column for name, column in zip(("id", "key"), row_keys(), strict=True)})
+    found = keys.select(F.col("__id").alias("__doc_id"), F.col("__key").alias("__doc_key"))
+    return own.join(found, ["__doc_id", "__doc_key"], how).select(*docs.columns)

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenroi.llm.common import WHITE, WHITE_CLASS, materialize, row_keys, text_or_empty
+from screenroi.llm.common import WHITE, WHITE_CLASS, materialize, row_keys, text_or_empty, without
 
 WINDOW_WORDS = 8
 MIN_WORDS = 20
@@ -243,7 +243,4 @@ def _judged(docs: DataFrame, keep: list[Column]) -> DataFrame:
 def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     rejected = _judged(docs, row_keys()).filter("not kept").select("__id", "__key").distinct()
-    names = docs.columns
-    keys = [F.coalesce(F.col("doc_id"), F.lit(0)) == rejected["__id"],
-            F.xxhash64(text_or_empty(), F.col("doc_id").isNull()) == rejected["__key"]]
-    return docs.join(rejected, keys[0] & keys[1], "left_anti").select(*names)
+    return without(docs, rejected)

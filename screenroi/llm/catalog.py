@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from screenroi.llm.common import read_table
 from screenroi.llm.exact_dedup import exact_dedup
+from screenroi.llm.line_dedup import line_dedup_digest
+from screenroi.llm.mixing import mixing_order
 from screenroi.llm.packing import pack_documents
 from screenroi.llm.quality_rules import quality_rules
 from screenroi.llm.simhash import simhash_dedup
@@ -22,10 +24,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_order(read_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -37,12 +47,38 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
+    "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_temperature_mixing": op7_temperature_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines,
+                 unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line
+          FROM documents),
+        t AS (
+          SELECT doc_id, line, lines[line + 1] AS raw,
+                 trim(lines[line + 1], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+          FROM l),
+        w AS (
+          SELECT doc_id, line AS l0, lead(line) OVER o AS l1, lead(line, 2) OVER o AS l2,
+                 body AS b0, lead(body) OVER o AS b1, lead(body, 2) OVER o AS b2
+          FROM t WHERE body <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY line)),
+        r AS (
+          SELECT doc_id, l0, l1, l2,
+                 row_number() OVER (PARTITION BY b0, b1, b2 ORDER BY doc_id, l0) AS n
+          FROM w WHERE l2 IS NOT NULL),
+        gone AS (SELECT DISTINCT doc_id, unnest([l0, l1, l2]) AS line FROM r WHERE n > 1)
+        SELECT t.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
+               sha256(coalesce(string_agg(t.raw, chr(10) ORDER BY t.line) FILTER (WHERE gone.line IS NULL), ''))
+                 AS kept_sha256
+        FROM t LEFT JOIN gone USING (doc_id, line)
+        GROUP BY t.doc_id
+    """,
     "op5_exact_dedup": r"""
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS points,

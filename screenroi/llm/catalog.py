@@ -14,6 +14,11 @@ from screenroi.llm.packing import pack_documents
 from screenroi.llm.quality_rules import quality_rules
 from screenroi.llm.simhash import simhash_dedup
 from screenroi.llm.token_files import token_files
+from screenroi.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +50,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
     "op4_line_dedup": op4_line_dedup,

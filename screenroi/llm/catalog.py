@@ -11,6 +11,7 @@ from screenroi.llm.exact_dedup import exact_dedup
 from screenroi.llm.line_dedup import line_dedup_digest
 from screenroi.llm.mixing import mixing_order
 from screenroi.llm.packing import pack_documents
+from screenroi.llm.pii import personal_data
 from screenroi.llm.quality_rules import quality_rules
 from screenroi.llm.simhash import simhash_dedup
 from screenroi.llm.token_files import token_files
@@ -41,6 +42,10 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_order(read_table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_temperature_mixing": op7_temperature_mixing,
+    "op8_personal_data": op8_personal_data,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_dedup": op10_simhash_dedup,
 }

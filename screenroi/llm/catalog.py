@@ -14,6 +14,7 @@ from screenroi.llm.packing import pack_documents
 from screenroi.llm.pii import personal_data
 from screenroi.llm.quality_rules import quality_rules
 from screenroi.llm.simhash import simhash_dedup
+from screenroi.llm.suffix_dedup import suffix_dedup_digest
 from screenroi.llm.token_files import token_files
 from screenroi.llm.toxicity import toxicity
 
@@ -38,6 +39,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_order(read_table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_temperature_mixing": op7_temperature_mixing,
     "op8_personal_data": op8_personal_data,
     "op9_best_fit_packing": op9_best_fit_packing,

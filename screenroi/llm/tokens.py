@@ -8,7 +8,7 @@ bounded cache keeps pieces between batches. The ids are those of
 
 * before a blank;
 * between an ASCII letter and ASCII punctuation or a line feed;
-* between a line feed and an ASCII letter.
+* between a single line feed behind visible ASCII and an ASCII letter.
 
 Texts where a blank touches other white space, or that contain a special token's string, go to
 the library whole.
@@ -34,6 +34,8 @@ CHUNK_BYTES = 12 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+_GRAPH = np.zeros(256, bool)
+_GRAPH[33:127] = True
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127), 10]] = True
 
@@ -126,7 +128,8 @@ class Encoder:
         cut = np.zeros(len(data) + 1, bool)
         letter, punct, feed = _LETTER[data], _PUNCT[data], data == 10
         cut[:-1] = data == 32
-        cut[1:-1] |= (letter[:-1] & punct[1:]) | (feed[:-1] & letter[1:])
+        cut[1:-1] |= letter[:-1] & punct[1:]
+        cut[2:-1] |= _GRAPH[data][:-2] & feed[1:-1] & letter[2:]
         whole = np.asarray(pc.fill_null(pc.match_substring_regex(texts, TOUCHING), False))
         for special in self.added:  # the library looks for these before it cuts
             whole = whole | np.asarray(pc.fill_null(pc.match_substring(texts, special), False))

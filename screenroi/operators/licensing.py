@@ -23,9 +23,9 @@ usage group by every licence of its title. Instead:
   - window 0, per (title, year) of the licence rows, marks the row with the smallest region
     (then cost): the fallback licence of that year;
   - window 1, per title by year, is the **as-of join**: ``last(..., ignorenulls)`` over the
-    marked rows looking back gives the exact-or-earlier year, ``first(..., ignorenulls)``
-    looking forward the later one (undated licences sort after everything, so they are reached
-    only when no dated year exists). The looked-up struct carries the fallback region and cost;
+    marked rows looking back gives the exact-or-earlier year; the same over the reversed order
+    gives the later one (undated licences sort after everything, so they are reached only when
+    no dated year exists). The looked-up struct carries the fallback region and cost;
   - window 2, per (title, region) by year, looks back from each usage row, placed at its
     chosen year, to the licence row of its own region: if that row has the chosen year, the
     usage region is preferred.
@@ -93,7 +93,10 @@ def pick_license(usage: DataFrame, licensing: DataFrame, how: str = "inner") ->
     in_title = Window.partitionBy("title_id").orderBy(F.col("__y").asc_nulls_last(), slot1)
     fallback = F.when(F.col("__first"), F.col("__lic"))
     back = F.last(fallback, ignorenulls=True).over(in_title.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.first(fallback, ignorenulls=True).over(in_title.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # Ahead is behind in the reversed order: a growing frame is updated row by row, whereas one that
+    # shrinks towards the end would be read again for every row.
+    reversed_title = Window.partitionBy("title_id").orderBy(F.col("__y").desc_nulls_first(), slot1.desc())
+    ahead = F.last(fallback, ignorenulls=True).over(reversed_title.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("__pick", F.when(~is_lic, F.coalesce(back, ahead)))
 
     # Window 2: per (title, region), usage rows sit at their chosen year after the licence

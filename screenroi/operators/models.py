@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.domain import churn_flag, roi_flag
 
 
+LICENSING_COLUMNS = ("performance_id", "title_id", "region_code", "date_id", "license_cost_usd")
+
+
 def stg_movies(dim_title: DataFrame) -> DataFrame:
     return dim_title
 
@@ -22,7 +25,7 @@ def stg_user_behavior(fact: DataFrame) -> DataFrame:
 
 
 def stg_licensing(fact: DataFrame) -> DataFrame:
-    return fact.select("performance_id", "title_id", "region_code", "date_id", "license_cost_usd")
+    return fact.select(*LICENSING_COLUMNS)
 
 
 MART_COLUMNS = (
@@ -56,16 +59,29 @@ def content_performance_mart(fact: DataFrame, dim_title: DataFrame, dim_region:
     )
 
 
+def publish_views(spark: SparkSession, database: str) -> None:
+    """The three staging models as views in the catalog, over the warehouse tables of ``database``."""
+    for view, source, columns in (
+        ("stg_movies", "dim_title", ["*"]), ("stg_user_behavior", "fact_content_performance", ["*"]),
+        ("stg_licensing", "fact_content_performance", list(LICENSING_COLUMNS)),
+    ):
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {', '.join(columns)} FROM {database}.{source}")
+
+
 def materialize(spark: SparkSession, name: str, df: DataFrame, kind: str = "view",
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, database: str | None = None) -> DataFrame:
     """Publish a model as a temp view (``kind='view'``) or as a Parquet table written to
-    ``path`` (``kind='table'``, overwritten as a whole) and exposed as a view of that path."""
+    ``path`` (``kind='table'``, overwritten as a whole): a catalog table with ``database``, else
+    a temp view of that path."""
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if kind == "table":
         if path is None:
             raise ValueError("a table model needs a path")
+        if database:
+            df.write.mode("overwrite").option("path", path).saveAsTable(f"{database}.{name}")
+            return spark.table(f"{database}.{name}")
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
         out.createOrReplaceTempView(name)

@@ -1,16 +1,22 @@
 """Data-quality rules over the fact table and the star schema.
 
-Output contract: DataFrame(rule string, violations long, passed boolean). The four
-row-level rules share one aggregate pass (``count_if``); duplicate keys and referential
-integrity need their own shuffles (an aggregation, and left-anti joins).
+Output contract: DataFrame(rule string, violations long, passed boolean). The fact is read once:
+its keys are looked up in the dimensions by left joins, rows are summed per performance_id, and one
+aggregate of that gives every rule. Each dimension is read once more, summed per key. Which columns
+may not be null comes from the table contracts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .warehouse import DIM_DATE_SCHEMA, DIM_REGION_SCHEMA, DIM_TITLE_SCHEMA, FACT_SCHEMA
 
 MIN_FACT_ROWS = 1000
+DIMENSIONS = {"dim_title": ("title_id", DIM_TITLE_SCHEMA), "dim_region": ("region_code", DIM_REGION_SCHEMA),
+              "dim_date": ("date_id", DIM_DATE_SCHEMA)}
 
 
 def _rows(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -21,74 +27,75 @@ def _rows(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(stack).withColumn("passed", F.col("violations") == 0)
 
 
-def fact_checks(fact: DataFrame, min_rows: int = MIN_FACT_ROWS) -> DataFrame:
-    """DQ1 title_id never null; DQ2 cost per hour never negative; DQ3 sentiment null or in
-    [0, 1]; DQ5 more than ``min_rows`` rows (violations = rows missing). One scan."""
-    agg = fact.agg(
-        F.count_if(F.col("title_id").isNull()).alias("null_title"),
-        F.count_if(F.col("cost_per_hour_watched") < 0).alias("negative_cost"),
-        F.count_if(
-            F.col("sentiment_score").isNotNull()
-            & ((F.col("sentiment_score") < 0) | (F.col("sentiment_score") > 1))
-        ).alias("sentiment_out_of_range"),
-        F.greatest(F.lit(min_rows + 1) - F.count(F.lit(1)), F.lit(0)).alias("rows_short"),
-    )
-    return _rows(agg, [
-        ("fact_title_id_not_null", "null_title"),
-        ("cost_per_hour_not_negative", "negative_cost"),
-        ("sentiment_between_0_and_1", "sentiment_out_of_range"),
-        (f"fact_row_count_above_{min_rows}", "rows_short"),
-    ])
+def _required(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if not f.nullable]
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once, with their counts (HAVING count(*) > 1)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+def _per_key(df: DataFrame, key: str, faults: dict[str, Column]) -> DataFrame:
+    """One row: the sum of each fault over all rows, ``__rows``, and ``__dups``, the keys with several rows."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(c).alias(n) for n, c in faults.items()])
+    return per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__rows"), F.count_if(F.col("__n") > 1).alias("__dups"),
+                       *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in faults])
+
+
+def _row_faults() -> dict[str, Column]:
+    """DQ1, DQ2, DQ3 and the other not-null columns of the fact."""
+    faults = {f"fact_{c}_not_null": F.col(c).isNull() for c in _required(FACT_SCHEMA)}
+    faults["cost_per_hour_not_negative"] = F.col("cost_per_hour_watched") < 0
+    faults["sentiment_between_0_and_1"] = ~F.col("sentiment_score").between(0, 1)
+    return faults
 
 
-def uniqueness_check(df: DataFrame, key: str, rule: str) -> DataFrame:
-    agg = duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("dups"))
-    return _rows(agg, [(rule, "dups")])
+def _with_parents(fact: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, Column]]:
+    """``fact`` with a mark for each dimension that has its key, and the faults of DQ7 (a null key has no
+    parent). Keys are made distinct first, so a duplicated dimension row multiplies nothing."""
+    faults = {}
+    for name, dim in dims.items():
+        key = DIMENSIONS[name][0]
+        parent = dim.select(F.col(key).alias(f"__{name}")).distinct()
+        fact = fact.join(parent, fact[key] == parent[f"__{name}"], "left")
+        faults[f"fact_{name.removeprefix('dim_')}_in_{name}"] = F.col(f"__{name}").isNull()
+    return fact, faults
 
 
-def not_null_check(df: DataFrame, key: str, rule: str) -> DataFrame:
-    return _rows(df.agg(F.count_if(F.col(key).isNull()).alias("nulls")), [(rule, "nulls")])
+def fact_checks(fact: DataFrame, min_rows: int = MIN_FACT_ROWS, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+    """DQ1-DQ5 of the fact and, with ``dims``, DQ7: one scan of the fact."""
+    joined, orphans = _with_parents(fact, dims or {})
+    faults = _row_faults() | orphans
+    found = _per_key(joined, "performance_id", faults).withColumn(
+        "__short", F.greatest(F.lit(min_rows + 1) - F.col("__rows"), F.lit(0)))
+    return _rows(found, [(n, n) for n in faults] + [
+        (f"fact_row_count_above_{min_rows}", "__short"), ("performance_id_unique", "__dups")])
 
 
-def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose key has no parent (null keys count as orphans)."""
-    return child.join(
-        parent.select(F.col(parent_key).alias("__pk")), F.col(child_key) == F.col("__pk"), "left_anti"
-    ).agg(F.count(F.lit(1)).alias("orphans"))
+def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once, with their counts (HAVING count(*) > 1)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
 def referential_checks(fact: DataFrame, dim_title: DataFrame, dim_region: DataFrame,
                        dim_date: DataFrame) -> DataFrame:
     """DQ7: every fact key has its dimension row."""
-    parts = [
-        _rows(orphan_count(fact, dim_title, "title_id", "title_id"), [("fact_title_in_dim_title", "orphans")]),
-        _rows(orphan_count(fact, dim_region, "region_code", "region_code"), [("fact_region_in_dim_region", "orphans")]),
-        _rows(orphan_count(fact, dim_date, "date_id", "date_id"), [("fact_date_in_dim_date", "orphans")]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    joined, faults = _with_parents(fact, {"dim_title": dim_title, "dim_region": dim_region, "dim_date": dim_date})
+    return _rows(joined.agg(*[F.count_if(c).alias(n) for n, c in faults.items()]), [(n, n) for n in faults])
+
+
+def dimension_checks(name: str, dim: DataFrame) -> DataFrame:
+    """DQ8: the key is unique and every column the contract calls not null is filled."""
+    key, schema = DIMENSIONS[name]
+    faults = {f"{name}_{c}_not_null": F.col(c).isNull() for c in _required(schema)}
+    return _rows(_per_key(dim, key, faults), [(n, n) for n in faults] + [(f"{name}_{key}_unique", "__dups")])
 
 
 def check_all(fact: DataFrame, dim_title: DataFrame | None = None, dim_region: DataFrame | None = None,
               dim_date: DataFrame | None = None, min_rows: int = MIN_FACT_ROWS) -> DataFrame:
-    """Every rule as one small DataFrame: fact rules, fact key uniqueness (DQ4), and when the
-    dimensions are given, referential integrity (DQ7) and dimension keys (DQ8)."""
-    out = fact_checks(fact, min_rows).unionByName(
-        uniqueness_check(fact, "performance_id", "performance_id_unique")
-    )
-    if dim_title is not None and dim_region is not None and dim_date is not None:
-        out = out.unionByName(referential_checks(fact, dim_title, dim_region, dim_date))
-        for name, dim, key in (("dim_title", dim_title, "title_id"), ("dim_region", dim_region, "region_code"),
-                               ("dim_date", dim_date, "date_id")):
-            out = out.unionByName(not_null_check(dim, key, f"{name}_{key}_not_null"))
-            out = out.unionByName(uniqueness_check(dim, key, f"{name}_{key}_unique"))
+    """Every rule as one small DataFrame; those on dimensions when the dimensions are given."""
+    if dim_title is None or dim_region is None or dim_date is None:
+        return fact_checks(fact, min_rows)
+    dims = {"dim_title": dim_title, "dim_region": dim_region, "dim_date": dim_date}
+    out = fact_checks(fact, min_rows, dims)
+    for name, dim in dims.items():
+        out = out.unionByName(dimension_checks(name, dim))
     return out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.domain import SERIES_WORDS_WIDE, content_type, non_blank
-from ..functions.names import first_column
+from ..functions.names import resolve_columns
 from .dedupe import keep_first
 
 # ---------------------------------------------------------------------------
@@ -32,14 +32,9 @@ def normalize_titles(movies: DataFrame, max_titles: int | None = None) -> DataFr
     and type), content type by the wide series word list (trimmed; null -> movie).
     ``max_titles`` keeps the first n ids in id order."""
     cols = list(movies.columns)
-    id_col = first_column(cols, GRID_ID_SYNONYMS, strip=True)
-    name_col = first_column(cols, GRID_NAME_SYNONYMS, strip=True)
-    type_col = first_column(cols, GRID_TYPE_SYNONYMS, strip=True)
-    if id_col is None or name_col is None:
-        raise ValueError(
-            "Movies input must include an id column and a title/name column. "
-            f"Found columns: {', '.join(cols[:20])}"
-        )
+    synonyms = {"id": GRID_ID_SYNONYMS, "name": GRID_NAME_SYNONYMS, "type": GRID_TYPE_SYNONYMS}
+    pick = resolve_columns(cols, synonyms, ("id", "name"), "title list", strip=True)
+    id_col, name_col, type_col = pick["id"], pick["name"], pick["type"]
     ctype = content_type(F.col(type_col), SERIES_WORDS_WIDE, trim=True) if type_col else F.lit("movie")
     work = movies.select(
         F.trim(F.col(id_col).cast("string")).alias("title_id"),
@@ -99,7 +94,5 @@ def title_ids_from_first(spark, paths: Sequence[str]) -> DataFrame:
 
 def distinct_title_ids(df: DataFrame) -> DataFrame:
     """Non-null distinct ids (as strings) of the first present id column."""
-    col = first_column(df.columns, LOOKUP_ID_SYNONYMS)
-    if col is None:
-        raise ValueError(f"No title id column among {LOOKUP_ID_SYNONYMS}. Found: {list(df.columns)}")
+    col = resolve_columns(df.columns, {"id": LOOKUP_ID_SYNONYMS}, ("id",), "title source")["id"]
     return df.select(F.col(col).cast("string").alias("title_id")).dropna().distinct()

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.casts import cast_column
 from ..functions.domain import blank_to_unknown, date_key
 from ..functions.names import snake_case_columns
+from ..session import path_exists
 
 # ---------------------------------------------------------------------------
 # Table contracts and the region seed.
@@ -251,11 +252,10 @@ class Warehouse:
     the new dimension rows, then the new facts. Optionally registers catalog tables
     ``{database}.{table}`` over the same locations."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str | None = None, fact_files_per_task: int = 1):
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
-        self.fact_files_per_task = fact_files_per_task
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -274,9 +274,11 @@ class Warehouse:
 
     def create(self) -> None:
         for name, schema in TABLE_SCHEMAS.items():
-            # An empty append creates the folder with the typed footer if it is absent.
-            self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
-        self._append(new_seed_region_rows(self.spark, self.table("dim_region")), "dim_region")
+            if not path_exists(self.spark, self.path(name)):
+                self.spark.createDataFrame([], schema).write.parquet(self.path(name))
+        seed = new_seed_region_rows(self.spark, self.table("dim_region"))
+        if not seed.isEmpty():
+            self._append(seed, "dim_region")
         if self.database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
             for name in TABLE_SCHEMAS:
@@ -295,7 +297,8 @@ class Warehouse:
         """Append new dims, then new facts. Returns rows appended per table.
 
         ``staging`` is read several times; pass a materialised (written or checkpointed)
-        staging DataFrame so upstream work is not recomputed per table."""
+        staging DataFrame so upstream work is not recomputed per table. Fact files are dealt by
+        title and sorted by (date, region, title), so that row groups can be skipped."""
         added = {}
         steps = [
             ("dim_title", lambda: new_dim_title_rows(staging, self.table("dim_title")), ["title_id"]),

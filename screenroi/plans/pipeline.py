@@ -2,9 +2,8 @@
 publish the models and check quality. Jobs read and write; everything between is lazy
 DataFrame code from ``operators``.
 
-Lineage is cut where a result is used twice: the content-performance result is
-``checkpoint()``-ed (reliable checkpoint in ``spark.checkpoint.dir``, survives executor loss)
-before the licence gate and the write, so neither recomputes the joins.
+Lineage is cut where a result is used twice: the content-performance result is written to the
+shared scratch folder before the licence gate and the final write, so neither recomputes the joins.
 """
 
 from __future__ import annotations
@@ -16,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaners
 from ..operators.metrics import check_licence_gate, content_performance, licence_gate_counts
-from ..operators.models import content_performance_mart, materialize, stg_licensing, stg_movies, stg_user_behavior
+from ..operators.models import content_performance_mart, materialize, publish_views, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all
 from ..operators.warehouse import Warehouse, load_staging
-from ..session import scratch_root
+from ..session import stored
 from ..sources.files import read_curated, read_raw_csv, write_content_performance, write_curated
 
 CURATED_FOLDERS = {
@@ -72,7 +71,6 @@ def run_content_performance(spark: SparkSession, paths: JobPaths, output: str |
     """Curated watch history, licensing, movies and sentiment -> content performance,
     partitioned by copies of region and year. Raises before writing when usage could not
     be costed."""
-    scratch_root(spark)  # make sure a reliable checkpoint folder is set
     watch = read_curated(spark, paths.curated("watch_history"))
     result = content_performance(
         watch,
@@ -80,7 +78,8 @@ def run_content_performance(spark: SparkSession, paths: JobPaths, output: str |
         read_curated(spark, paths.curated("movies")),
         read_curated(spark, paths.curated("reviews")),
         how=how,
-    ).checkpoint(eager=True)
+    )
+    result = stored(result, "content-performance")
     counts = licence_gate_counts(result).first()
     usage_rows = watch.filter(F.col("title_id").isNotNull()).limit(1).count()
     check_licence_gate(counts["row_count"], counts["licensed_row_count"], usage_rows)
@@ -95,18 +94,22 @@ def run_warehouse_load(spark: SparkSession, curated_content_performance: str, wa
     wh = Warehouse(spark, warehouse_root, database)
     wh.create()
     staging = load_staging(spark.read.parquet(curated_content_performance), churn=churn)
-    return wh.load(staging.checkpoint(eager=True))
-
-
-def run_models(spark: SparkSession, warehouse_root: str, mart_path: str) -> DataFrame:
-    """Staging views and the mart table."""
-    wh = Warehouse(spark, warehouse_root)
-    fact, title, region, date = (wh.table(n) for n in ("fact_content_performance", "dim_title", "dim_region", "dim_date"))
-    materialize(spark, "stg_movies", stg_movies(title))
-    materialize(spark, "stg_user_behavior", stg_user_behavior(fact))
-    materialize(spark, "stg_licensing", stg_licensing(fact))
+    return wh.load(stored(staging, "staging"))
+
+
+def run_models(spark: SparkSession, warehouse_root: str, mart_path: str, database: str | None = None) -> DataFrame:
+    """Staging views and the mart table, over the warehouse's named sources. With ``database`` they are
+    catalog objects that outlive the session, else temporary views."""
+    sources = Warehouse(spark, warehouse_root, database).sources()
+    fact, title, region, date = (sources[n] for n in ("fact_content_performance", "dim_title", "dim_region", "dim_date"))
+    if database:
+        publish_views(spark, database)
+    else:
+        materialize(spark, "stg_movies", stg_movies(title))
+        materialize(spark, "stg_user_behavior", stg_user_behavior(fact))
+        materialize(spark, "stg_licensing", stg_licensing(fact))
     return materialize(spark, "content_performance", content_performance_mart(fact, title, region, date),
-                       kind="table", path=mart_path)
+                       kind="table", path=mart_path, database=database)
 
 
 def run_quality(spark: SparkSession, warehouse_root: str, min_rows: int = 1000) -> DataFrame:

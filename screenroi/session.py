@@ -1,9 +1,8 @@
 """Session construction and the shared scratch location.
 
-Jobs never use machine-local temporary folders: intermediate tables and stream
-checkpoints go under the folder the cluster names in ``spark.checkpoint.dir``.
-Only when that setting is absent (local runs, tests) do we pick one ourselves,
-below the warehouse directory, and record it on the session.
+Intermediate tables and stream checkpoints go under the folder the cluster names in
+``spark.checkpoint.dir``. When that setting is absent, a local session gets one below the
+warehouse directory; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,8 +42,9 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's checkpoint dir).
-    If neither is set, a folder below ``spark.sql.warehouse.dir`` is chosen and installed
-    as the context's checkpoint dir, so ``DataFrame.checkpoint`` uses the same place.
+    If neither is set, a local master gets a folder below ``spark.sql.warehouse.dir``, installed
+    as the context's checkpoint dir so that ``DataFrame.checkpoint`` uses the same place; on any
+    other master that is an error.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -54,6 +54,10 @@ def scratch_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getCheckpointDir()
     if not configured:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                f"Set {CHECKPOINT_CONF} to a folder that the driver and all executors share: "
+                "without it intermediate tables would be written to each machine's own disk.")
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         configured = warehouse.rstrip("/") + "/_screenroi_scratch"
     if sc is not None and sc.getCheckpointDir() is None:
@@ -61,6 +65,20 @@ def scratch_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system the path belongs to."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the scratch folder and read back: cuts the lineage, keeps
+    column pruning and statistics, and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the scratch root for one run of one job."""
     return f"{scratch_root(spark)}/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"

@@ -3,17 +3,19 @@
 The test tables are a TPC-H-like star schema plus events, documents and conversations. These
 bindings map them, independent of scale factor, onto the raw column names the cleaners expect,
 so every query's work grows with the given tables. They are test inputs, not library
-semantics; the DuckDB oracle re-states each of them in SQL.
+semantics; the DuckDB oracle re-states each of them in SQL. Every row of a table is bound; some
+values are bound blank, null or out of range by key, so that the cleaners' filters, the fallback
+branches of the licence pick and all flags have rows to act on.
 
 | raw dataset          | from                                         |
 |----------------------|----------------------------------------------|
 | watch_history        | lineitem, orders, customer, nation, region   |
 | movies               | part                                         |
-| licensing_costs      | lineitem, supplier, nation, region (1997-2000) |
+| licensing_costs      | lineitem, supplier, nation, region           |
 | users                | customer, nation, first order date           |
-| reviews              | labels, documents                            |
-| recommendation_logs  | events (view, click)                         |
-| search_logs          | conversations (user turns), region           |
+| reviews              | documents, labels                            |
+| recommendation_logs  | events                                       |
+| search_logs          | conversations, region                        |
 | play events          | events                                       |
 """
 
@@ -32,33 +34,6 @@ EVENT_REGIONS = ("US", "CA", "GB", "IN", "BR", "MX", "DE", "JP")
 EVENT_DEVICES = ("TV", "Mobile", "Tablet", "Web", "Game Console")
 
 
-# Inputs smaller than this are never rebalanced (a shuffle would cost more than it saves).
-REBALANCE_MIN_BYTES = 4 << 20
-
-
-def _total_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-def read_balanced(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan that still runs on every core when the input cannot be split.
-
-    A file with a single row group is read by one task, and so is every narrow step after
-    it up to the first shuffle. When a table has fewer files than the cluster has cores and
-    is large enough to matter, rows are spread round-robin once. On a real table (thousands
-    of files) the condition is false and the scan is left as it is."""
-    df = spark.read.parquet(path)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        small_input = len(df.inputFiles()) < cores and _total_bytes(spark, path) >= REBALANCE_MIN_BYTES
-    except Exception:  # no local context (remote session): leave the scan as it is
-        return df
-    return df.repartition(cores) if small_input else df
-
-
 class Tables:
     """Lazy access to the parquet tables of one scale-factor folder."""
 
@@ -71,36 +46,40 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_balanced(self.spark, f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
 
 def _geo(t: Tables) -> DataFrame:
-    """nation + region names (25 rows; broadcast by size)."""
+    """nation + region names."""
     return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", "r_name"
     )
 
 
 def watch_history_raw(t: Tables) -> DataFrame:
+    """One session per order line. Orders divisible by 13 have no date; the region is null, blank or a
+    spelling to normalise for some remainders by 11."""
     li = t.lineitem
+    order = F.col("l_orderkey")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
     c = t.customer.select("c_custkey", "c_nationkey")
     return (
         li.join(o, li.l_orderkey == o.o_orderkey)
         .join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(_geo(t)), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_geo(t), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("Session ID"),
             F.col("o_custkey").cast("string").alias("user_id"),
             F.col("l_partkey").alias("movie_id"),
-            F.col("l_shipdate").alias("watch_date"),
+            F.when(order % 13 != 0, F.col("l_shipdate")).alias("watch_date"),
             F.col("o_orderpriority").alias("device_type"),
-            F.col("l_quantity").alias("watch_duration_minutes"),
+            (F.col("l_quantity") * 600).alias("watch_duration_minutes"),
             (F.col("l_discount") * 1000.0).alias("progress_percentage"),
             F.col("l_returnflag").alias("action"),
             F.col("l_linestatus").alias("quality"),
-            F.col("r_name").alias("location_country"),
+            F.when(order % 11 == 0, F.lit(None)).when(order % 11 == 1, F.lit("")).when(order % 11 == 2, F.lit("usa "))
+            .when(order % 11 == 3, F.lit("Germany")).otherwise(F.col("r_name")).alias("location_country"),
             F.when(F.col("l_tax") >= 0.04, F.lit("yes")).otherwise(F.lit("no")).alias("is_download"),
             (F.col("l_tax") * 100.0).alias("user_rating"),
         )
@@ -116,7 +95,7 @@ def movies_raw(t: Tables) -> DataFrame:
         F.col("p_type").alias("genre_primary"),
         F.col("p_brand").alias("genre_secondary"),
         (F.lit(1980) + (F.col("p_partkey") % 40)).cast("int").alias("release_year"),
-        F.when(size_mod == 0, F.lit("TV")).when(size_mod == 1, F.lit("Series")).otherwise(F.lit("film")).alias("Content Type"),
+        F.when(size_mod == 0, F.lit("TV")).when(size_mod == 1, F.lit("Series")).otherwise(F.lit("film")).alias("Media_Type "),
         F.col("p_retailprice").alias("popularity"),
         F.col("p_size").alias("duration_minutes"),
         F.when(F.col("p_partkey") % 3 == 0, F.lit("Yes"))
@@ -126,22 +105,26 @@ def movies_raw(t: Tables) -> DataFrame:
 
 
 def licensing_raw(t: Tables) -> DataFrame:
-    """Per (part, supplier region, ship year 1997-2000): summed price x 1000 as USD.
-    Year-2000 rows lose their year (undated licences); parts divisible by 10 have none."""
+    """Per (part, supplier region, ship year): a fifth of the summed price, in whole dollars.
+
+    Years outside 1997-1999 are bound as null (undated licences), as is every year of parts ending
+    in 8. Parts ending in 0 have no cost and parts ending in 9 a negative one in odd years: the
+    cleaner drops those rows."""
     li = t.lineitem
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    yr = F.year("l_shipdate")
     base = (
-        li.filter(yr.between(1997, 2000) & (F.col("l_partkey") % 10 != 0))
-        .join(s, li.l_suppkey == s.s_suppkey)
-        .join(F.broadcast(_geo(t)), F.col("s_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.col("l_partkey").alias("title_id"), F.col("r_name").alias("region"), yr.alias("ship_year"))
-        .agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")) * 1000).alias("license_cost_usd"))
+        li.join(s, li.l_suppkey == s.s_suppkey)
+        .join(_geo(t), F.col("s_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("l_partkey").alias("title_id"), F.col("r_name").alias("region"), F.year("l_shipdate").alias("ship_year"))
+        .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"))
     )
+    usd = F.expr("cast(price * 100 as bigint) div 500")
+    last = F.col("title_id") % 10
     return base.select(
         "title_id",
-        "license_cost_usd",
-        F.when(F.col("ship_year") == 2000, F.lit(None)).otherwise(F.col("ship_year")).cast("int").alias("license_year"),
+        F.when(last == 0, F.lit(None)).when((last == 9) & (F.col("ship_year") % 2 == 1), -usd - 1_000_000)
+        .otherwise(usd).alias("license_cost_usd"),
+        F.when(F.col("ship_year").between(1997, 1999) & (last != 8), F.col("ship_year")).cast("int").alias("license_year"),
         "region",
     )
 
@@ -150,7 +133,7 @@ def users_raw(t: Tables) -> DataFrame:
     first_order = t.orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
     c = t.customer
     return (
-        c.join(F.broadcast(t.nation), c.c_nationkey == F.col("n_nationkey"))
+        c.join(t.nation, c.c_nationkey == F.col("n_nationkey"))
         .join(first_order, c.c_custkey == first_order.o_custkey, "left")
         .select(
             F.col("c_custkey").alias("user_id"),
@@ -164,11 +147,14 @@ def users_raw(t: Tables) -> DataFrame:
 
 
 def reviews_raw(t: Tables) -> DataFrame:
-    lab = t.labels
+    """Every document as a review of one of n / 3 titles; unlabelled ones have no sentiment and some
+    labelled ones a score out of range."""
     d = t.documents.select("doc_id", "text")
-    return lab.join(d, "doc_id").select(
-        (F.col("doc_id") % 100).alias("movie_id"),
-        F.when(F.col("toxic") == 1, F.lit("0.5"))
+    return d.join(t.labels, "doc_id", "left").select(
+        F.expr("doc_id div 3 + 1").alias("movie_id"),
+        F.when(F.col("quality").isNull(), F.lit(None))
+        .when(F.col("doc_id") % 50 == 7, F.lit("1.5"))
+        .when(F.col("toxic") == 1, F.lit("0.5"))
         .when(F.col("quality") == 1, F.lit("positive"))
         .otherwise(F.lit("negative"))
         .alias("sentiment"),
@@ -177,8 +163,7 @@ def reviews_raw(t: Tables) -> DataFrame:
 
 
 def recommendation_logs_raw(t: Tables) -> DataFrame:
-    e = t.events
-    return e.filter(F.col("event_type").isin("view", "click")).select(
+    return t.events.select(
         F.col("event_id").alias("recommendation_id"),
         F.col("user_id"),
         F.get_json_object("props", "$.k").alias("movie_id"),
@@ -191,8 +176,8 @@ def recommendation_logs_raw(t: Tables) -> DataFrame:
 
 
 def search_logs_raw(t: Tables) -> DataFrame:
-    conv = t.conversations.filter(F.col("role") == "user")
-    return conv.join(F.broadcast(t.region), (conv.conv_id % 5) == F.col("r_regionkey")).select(
+    conv = t.conversations
+    return conv.join(t.region, (conv.conv_id % 5) == F.col("r_regionkey")).select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("search_id"),
         F.col("conv_id").cast("string").alias("user_id"),
         F.col("text").alias("search_query"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import by_partition
+
 # The seven-field play-event record.
 PLAY_EVENT_SCHEMA = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -33,11 +35,10 @@ def read_play_events(spark: SparkSession, path: str, streaming: bool = False,
 def land_play_events(df: DataFrame, root: str, mode: str = "append") -> None:
     """Write events as JSON Lines partitioned by the event's year, month and day."""
     ts = F.col("timestamp").cast("timestamp_ntz")
-    (
+    days = ["year", "month", "day"]
+    dated = (
         df.withColumn("year", F.year(ts))
         .withColumn("month", F.lpad(F.month(ts).cast("string"), 2, "0"))
         .withColumn("day", F.lpad(F.dayofmonth(ts).cast("string"), 2, "0"))
-        .write.mode(mode)
-        .partitionBy("year", "month", "day")
-        .json(root)
     )
+    by_partition(dated, days).write.mode(mode).partitionBy(*days).json(root)

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.names import snake_case_columns
+from ..session import path_exists
 
 # Raw file name -> dataset folder.
 RAW_DATASETS = {
@@ -61,10 +61,9 @@ def read_raw_zone(spark: SparkSession, root: str, dataset: str, year: int | None
     Partition discovery keeps ``year`` and ``month`` as columns; filtering on them prunes
     folders before any file is opened. A missing dataset is a ``FileNotFoundError``."""
     path = f"{root.rstrip('/')}/{dataset}"
-    try:
-        df = _csv_reader(spark, multiline).option("basePath", path).csv(path)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"Missing expected raw dataset: {path}") from exc
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"The raw zone has no dataset at {path}")
+    df = _csv_reader(spark, multiline).option("basePath", path).csv(path)
     if year is not None:
         df = df.filter(F.col("year") == int(year))
     if month is not None:
@@ -73,10 +72,11 @@ def read_raw_zone(spark: SparkSession, root: str, dataset: str, year: int | None
 
 
 def land_raw(df: DataFrame, root: str, dataset: str, year: int, month: int) -> str:
-    """Append rows to ``root/dataset/year=Y/month=MM/`` as headered CSV."""
+    """Write rows as headered CSV to ``root/dataset/year=Y/month=MM/``, in place of what that month
+    held; other months stay. Landing a month again changes nothing."""
     path = f"{root.rstrip('/')}/{dataset}"
     staged = df.withColumn("year", F.lit(int(year))).withColumn("month", F.lpad(F.lit(str(int(month))), 2, "0"))
-    _csv_writer(staged, "append").partitionBy("year", "month").csv(path)
+    _csv_writer(staged, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").csv(path)
     return path
 
 
@@ -86,12 +86,17 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_curated(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    """Replace one curated dataset. Partitioned writes sort locally by the partition columns
-    (no shuffle): a hot partition value is written by every task that holds it, not by one."""
-    writer = df.write.mode("overwrite")
+    """Replace one curated dataset. Rows of a partitioned write are first dealt by the partition columns
+    (``rebalance``), so the number of files does not grow with the number of tasks; adaptive execution
+    splits the share of a hot value again."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        by_partition(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def write_content_performance(df: DataFrame, path: str) -> None:

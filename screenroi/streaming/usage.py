@@ -7,9 +7,9 @@
 * ``start_daily_usage_stream``: runs ``stream_usage`` in update mode into a *changelog*
   table: every micro-batch writes the groups it changed to ``batch_id=N`` (overwritten on
   replay, so a retried batch is idempotent); ``read_latest`` keeps the newest row per group.
-* ``start_usage_refresh``: every micro-batch lands its raw events (per batch folder), then
+* ``start_usage_refresh``: every micro-batch lands sums per (title, region, year, user), then
   recomputes **exact** usage (sum, distinct viewers) for the (title, region, year) groups it
-  touched, from all landed events of those years, and writes them to the changelog.
+  touched, from the landed sums of those titles, and writes them to the changelog.
 Checkpoints and tables live in shared storage given by the caller.
 """
 
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.domain import normalize_region
-from ..operators.metrics import prepare_usage, usage_by_title_region_year
+from ..operators.metrics import prepare_usage
 from ..sources.events import read_play_events
+from ..sources.files import by_partition
 
 PLAY = "play"
 
@@ -76,10 +77,13 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def start_daily_usage_stream(spark: SparkSession, source: str, output: str, checkpoint: str,
-                             watermark: str = "1 day", window: str = "1 day",
+                             watermark: str, window: str = "1 day",
                              approx_viewers: bool = True, available_now: bool = True,
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """STR3 as a running query: windowed usage in update mode into a changelog table."""
+    """STR3 as a running query: windowed usage in update mode into a changelog table.
+
+    ``watermark`` is the caller's to choose: files are read in no given order, so it must span a
+    backlog that is read in several micro-batches. ``rows_dropped`` tells whether it did."""
     events = read_play_events(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
     usage = stream_usage(events, watermark, window, approx_viewers)
 
@@ -91,31 +95,54 @@ def start_daily_usage_stream(spark: SparkSession, source: str, output: str, chec
     return writer.start()
 
 
+def rows_dropped(query: StreamingQuery) -> int:
+    """Rows (after map-side aggregation) behind the watermark in the query's recent progress."""
+    return sum(state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"])
+
+
+#: Landed partial sums are dealt to so many folders a year, by title.
+TITLE_BUCKETS = 64
+_NO_YEAR = -1
+
+
+def _partials(batch: DataFrame) -> DataFrame:
+    """Minutes per (title, region, year, user), with the folder keys ``event_year`` (-1 where the event
+    has no readable time) and ``bucket``."""
+    plays = prepare_usage(events_to_watch(batch)).filter(
+        F.col("title_id").isNotNull() & F.col("watch_duration_mins").isNotNull())
+    return (
+        plays.withColumn("event_year", F.coalesce("year", F.lit(_NO_YEAR)))
+        .groupBy("title_id", "region", "event_year", "user_id")
+        .agg(F.sum(F.col("watch_duration_mins").cast("decimal(18,2)")).alias("minutes"))
+        .withColumn("bucket", F.pmod(F.xxhash64("title_id"), F.lit(TITLE_BUCKETS)).cast("int"))
+    )
+
+
 def start_usage_refresh(spark: SparkSession, source: str, landing: str, output: str, checkpoint: str,
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """STR4: land each micro-batch, then recompute exact usage for the groups it touched."""
+    """STR4: land each micro-batch as partial sums, then recompute exact usage of the groups it touched.
+
+    A batch reads back only the folders of its own years and title buckets, and of those only its
+    groups; raw events are never read again."""
     events = read_play_events(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
+    folders = ["event_year", "bucket"]
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        # 1. Land the micro-batch in its own folder (overwritten if the batch is replayed),
-        #    partitioned by event year so later recounts read only the years they need.
+        # a replayed batch overwrites its own folder
         target = f"{landing}/batch_id={batch_id}"
-        batch.withColumn("event_year", F.year("timestamp")).write.mode("overwrite").partitionBy(
-            "event_year"
-        ).parquet(target)
-        # 2. The (title, region, year) groups this batch touched.
-        touched = (
-            prepare_usage(events_to_watch(spark.read.parquet(target).drop("event_year")))
-            .filter(F.col("title_id").isNotNull() & F.col("watch_duration_mins").isNotNull())
-            .select("title_id", "region", "year")
-            .distinct()
-        )
-        # 3. Exact usage of those groups over everything landed so far: the semi join on the
-        #    year partition column lets Spark prune partitions at run time.
-        years = touched.select(F.col("year").alias("event_year")).distinct()
-        landed = spark.read.parquet(landing).join(years, "event_year", "left_semi")
-        scoped = prepare_usage(events_to_watch(landed)).join(touched, ["title_id", "region", "year"], "left_semi")
-        usage_by_title_region_year(scoped).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        by_partition(_partials(batch), folders).write.mode("overwrite").partitionBy(*folders).parquet(target)
+        landed = spark.read.parquet(target)
+        touched = landed.select("title_id", "region", "event_year").distinct()
+        # at most TITLE_BUCKETS values, and the years of the batch
+        own = landed.agg(F.collect_set("event_year").alias("years"), F.collect_set("bucket").alias("buckets")).first()
+        pruned = spark.read.parquet(landing).filter(
+            F.col("event_year").isin(own.years) & F.col("bucket").isin(own.buckets))
+        groups = pruned.join(touched, ["title_id", "region", "event_year"], "left_semi").groupBy(
+            "title_id", "region", "event_year").agg(
+            (F.sum("minutes").cast("double") / F.lit(60.0)).alias("total_watch_hours"),
+            F.count_distinct("user_id").alias("unique_viewers"))
+        groups.select("title_id", "region", F.nullif("event_year", F.lit(_NO_YEAR)).alias("year"), "total_watch_hours",
+                      "unique_viewers").write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

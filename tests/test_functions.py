@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from screenroi.functions import domain as d
 from screenroi.functions.casts import cast_column, optional
 from screenroi.functions.names import (
-    ColumnCollisionError, first_column, require_columns, snake_case, snake_case_columns,
+    ColumnCollisionError, MissingColumnsError, require_columns, resolve_columns, snake_case, snake_case_columns,
 )
 
 
@@ -25,13 +25,17 @@ def test_snake_case_columns_collision(spark):
         snake_case_columns(df)
 
 
-def test_first_column_and_require(spark):
-    assert first_column(["Title", "movie_id"], ("title_id", "movie_id")) == "movie_id"
-    assert first_column(["TITLE_ID", "movie_id"], ("title_id", "movie_id")) == "TITLE_ID"
-    assert first_column([" id "], ("id",), strip=True) == " id "
-    assert first_column(["x"], ("id",)) is None
+def test_resolve_columns(spark):
+    ids = {"id": ("title_id", "movie_id")}
+    assert resolve_columns(["Title", "movie_id"], ids) == {"id": "movie_id"}
+    assert resolve_columns(["TITLE_ID", "movie_id"], ids) == {"id": "TITLE_ID"}
+    assert resolve_columns([" id "], {"id": ("id",)}, strip=True) == {"id": " id "}
+    assert resolve_columns(["Id", "ID"], {"id": ("id",)}) == {"id": "Id"}
+    assert resolve_columns(["x"], ids) == {"id": None}
+    with pytest.raises(MissingColumnsError, match=r"The list has no column for id \(one of title_id, movie_id\)"):
+        resolve_columns(["x"], ids, ("id",), "list")
     df = spark.createDataFrame([(1,)], "a int")
-    with pytest.raises(ValueError, match=r"Missing required t columns: b, c\. Found: \['a'\]"):
+    with pytest.raises(MissingColumnsError, match=r"b \(one of b\); c \(one of c\)\. It has \['a'\]"):
         require_columns(df, {"c", "b", "a"}, "t")
 
 

@@ -5,28 +5,22 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from screenroi.operators.dedupe import keep_first
 from screenroi.operators.licensing import pick_license
+from screenroi.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-# Queries that write to the scratch folder while being built are checked elsewhere.
-SIDE_EFFECTS = {"partition_pruned_read", "raw_csv_roundtrip", "multiline_csv_roundtrip", "stream_daily_usage",
-                "stream_usage_refresh", "stg_movies", "stg_user_behavior", "stg_licensing",
-                "content_performance_mart", "roi_flag_counts", "churn_flag", "dq_report", "dq_referential",
-                "fact_load", "fact_reload_idempotent", "dim_title_rollup", "dim_title_insert_if_absent",
-                "dim_region_load", "dim_date_load", "staging_load", "search_logs_partitioned", "title_ids_first_source",
-                "play_events_batch"}
 
 
 def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udfs_or_pair_joins(spark, name):
-    plan = physical(entry.queries()[name](spark, SF))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    plan = physical(QUERIES[name](spark, SF))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+                "RoundRobinPartitioning"):
         assert bad not in plan, f"{name}: {bad}"
 
 
@@ -47,8 +41,9 @@ def test_licence_pick_is_one_title_shuffle_without_join(spark):
     assert "Join" not in plan
     assert len(re.findall(r"Exchange hashpartitioning\(title_id#\d+, \d+\)", plan)) == 1
     assert plan.count("Window [") >= 3
+    assert "unboundedfollowing" not in plan  # such a frame is read again for every row
 
 
 def test_usage_aggregates_partially_before_shuffles(spark):
-    plan = physical(entry.queries()["usage_by_title_region_year"](spark, SF))
+    plan = physical(QUERIES["usage_by_title_region_year"](spark, SF))
     assert "partial_sum" in plan and "partial_count(distinct" in plan

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from collections import defaultdict
 
 from screenroi.operators.cleaners import clean_watch_history
@@ -48,3 +49,15 @@ def test_hot_title_usage_and_pick(spark):
     assert picked[("hot", "GB", 2019)] == ("US", 1.0, 2018)
     assert all(t == "hot" or int(t[1:]) % 2 == 0 for t, _, _ in picked)
     assert all(v == ("US", float(t[1:]), 2022) for (t, _, _), v in picked.items() if t != "hot")
+
+
+def test_pick_is_linear_in_a_title(spark):
+    """20,000 usage groups and 20,000 licences of one title in regions without end."""
+    usage = spark.range(20000).selectExpr("'t' AS title_id", "concat('r', id) AS region", "cast(1900 + id % 200 as int) AS year",
+                                          "1.0D AS total_watch_hours", "1L AS unique_viewers")
+    licences = spark.range(20000).selectExpr("'t' AS title_id", "concat('q', id) AS license_region",
+                                             "cast(id as double) AS license_cost_usd_millions", "cast(1900 + id % 150 as int) AS license_year")
+    start = time.perf_counter()
+    rows = pick_license(usage, licences).collect()
+    assert len(rows) == 20000 and time.perf_counter() - start < 20
+    assert all(r.license_year == min(r.year, 2049) for r in rows)

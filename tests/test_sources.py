@@ -100,3 +100,80 @@ def test_catalog_registration(spark, scratch):
     src = wh.sources()
     assert src["dim_region"].count() == 9
     assert spark.sql("SELECT count(*) AS n FROM analytics_test.dim_region").first().n == 9
+
+
+def test_catalog_models(spark, scratch):
+    """Views and mart outlive the temporary views: they are found by name in the catalog."""
+    from screenroi.operators.warehouse import Warehouse
+    from screenroi.plans.pipeline import run_models
+
+    Warehouse(spark, f"{scratch}/wh", database="models_test").create()
+    run_models(spark, f"{scratch}/wh", f"{scratch}/mart", database="models_test")
+    names = {r.tableName for r in spark.sql("SHOW TABLES IN models_test").collect() if not r.isTemporary}
+    assert {"stg_movies", "stg_user_behavior", "stg_licensing", "content_performance", "dim_title"} <= names
+    assert spark.table("models_test.stg_licensing").columns == [
+        "performance_id", "title_id", "region_code", "date_id", "license_cost_usd"]
+
+
+def test_landing_a_month_again_replaces_it(spark, scratch):
+    df = spark.createDataFrame([("t1", "positive"), ("t1", "negative")], "movie_id string, sentiment string")
+    for _ in range(2):
+        land_raw(df, scratch, "reviews", 2024, 3)
+        land_raw(df, scratch, "reviews", 2024, 4)
+    (r,) = clean_review_sentiment(read_raw_zone(spark, scratch, "reviews", year=2024, month=3)).collect()
+    assert r.review_count == 2 and read_raw_zone(spark, scratch, "reviews").count() == 4
+
+
+def _files(folder):
+    return [f for _, _, names in os.walk(folder) for f in names if f.endswith((".parquet", ".json"))]
+
+
+def test_partitioned_writes_do_not_multiply_by_tasks(spark, scratch):
+    df = spark.range(4000).selectExpr("id", "concat('r', id % 35) AS region").repartition(16)
+    write_curated(df, f"{scratch}/many", ["region"])
+    assert len(_files(f"{scratch}/many")) <= 2 * 35
+    ev = df.selectExpr("cast(id as string) AS user_id", "'t' AS title_id", "'play' AS event", "1 AS watch_duration_mins",
+                       "concat('2024-03-', lpad(id % 28 + 1, 2, '0'), 'T00:00:00') AS timestamp", "region", "'TV' AS device")
+    land_play_events(ev, f"{scratch}/events")
+    assert len(_files(f"{scratch}/events")) <= 2 * 28
+
+
+def test_create_adds_no_files_again(spark, scratch):
+    from screenroi.operators.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    wh.create()
+    first = len(_files(f"{scratch}/wh"))
+    wh.create()
+    wh.create()
+    assert len(_files(f"{scratch}/wh")) == first
+
+
+def test_fact_files_are_sorted_by_date_region_title(spark, scratch):
+    """LAY1: each fact file holds whole titles, sorted for row-group skipping."""
+    import pyarrow.parquet as pq
+
+    from screenroi.plans.catalog import _flow
+
+    wh = _flow(spark, "/root/testdata/sf0.001").warehouse
+    seen: set[str] = set()
+    root = wh.path("fact_content_performance").removeprefix("file:")
+    for name in sorted(_files(root)):
+        rows = pq.read_table(f"{root}/{name}", columns=["date_id", "region_code", "title_id"]).to_pylist()
+        keys = [(r["date_id"], r["region_code"], r["title_id"]) for r in rows]
+        assert keys == sorted(keys)
+        titles = {k[2] for k in keys}
+        assert not titles & seen
+        seen |= titles
+    assert len(seen) > 100
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from screenroi.session import scratch_root
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(session)

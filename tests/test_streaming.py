@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from screenroi.operators.metrics import prepare_usage, usage_by_title_region_year
 from screenroi.sources.events import land_play_events, read_play_events
 from screenroi.streaming.usage import (
-    events_to_watch, read_latest, start_daily_usage_stream, start_usage_refresh, stream_usage,
+    events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh, stream_usage,
 )
 
 from conftest import rows
@@ -42,7 +42,9 @@ def test_watermark_drops_late_days(spark, scratch):
     start_daily_usage_stream(*args, watermark="1 day").awaitTermination()
     # Day 1 arrives after day 4 was seen: it is more than a day behind the watermark.
     land_play_events(ev.filter(F.col("timestamp").startswith("2024-03-01")), src)
-    start_daily_usage_stream(*args, watermark="1 day").awaitTermination()
+    late = start_daily_usage_stream(*args, watermark="1 day")
+    late.awaitTermination()
+    assert rows_dropped(late) > 0  # the loss can be seen
     days = {r.window_start.day for r in read_latest(spark, f"{scratch}/out",
                                                     ["window_start", "window_end", "title_id", "region"]).collect()}
     assert days == {4}
@@ -62,3 +64,30 @@ def test_refresh_stream_is_exact_and_replay_safe(spark, scratch):
     expected = usage_by_title_region_year(prepare_usage(events_to_watch(read_play_events(spark, src))))
     got = read_latest(spark, f"{scratch}/out", ["title_id", "region", "year"])
     assert rows(got) == rows(expected)
+
+
+def test_refresh_keeps_events_without_a_time(spark, scratch):
+    src = f"{scratch}/src"
+    ev = spark.createDataFrame(
+        [("u1", "t1", "play", 30, "2024-03-01T10:00:00", "US", "TV"), ("u2", "t1", "play", 20, None, "US", "TV")],
+        "user_id string, title_id string, event string, watch_duration_mins int, timestamp string, region string, device string")
+    for k in range(2):  # the group without a year is touched by both batches
+        land_play_events(ev.withColumn("user_id", F.concat("user_id", F.lit(str(k)))), src)
+        start_usage_refresh(spark, src, f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+    got = {r.year: (r.total_watch_hours, r.unique_viewers)
+           for r in read_latest(spark, f"{scratch}/out", ["title_id", "region", "year"]).collect()}
+    assert got == {2024: (1.0, 2), None: (40 / 60.0, 2)}
+
+
+def test_refresh_reads_only_its_titles(spark, scratch):
+    """A batch reads back the folders of its own title buckets, not all that was landed."""
+    src = f"{scratch}/src"
+    args = (spark, src, f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt")
+    for k in range(6):
+        land_play_events(spark.createDataFrame(
+            [(f"u{k}", f"title{k}", "play", 60, "2024-03-01T10:00:00", "US", "TV")],
+            "user_id string, title_id string, event string, watch_duration_mins int, timestamp string, region string, device string"), src)
+        start_usage_refresh(*args).awaitTermination()
+    log = spark.read.parquet(f"{scratch}/out")
+    assert log.groupBy("batch_id").count().filter("count <> 1").isEmpty() and log.count() == 6
+    assert spark.read.parquet(f"{scratch}/landing").select("bucket").distinct().count() > 1

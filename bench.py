@@ -35,6 +35,7 @@ HEADLINE = [
     "dq_report",
     "play_events_usage",
     "stream_daily_usage",
+    "stream_usage_refresh",
 ]
 
 

@@ -71,6 +71,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hpath)
+    return sorted(f.getPath().getName() for f in found)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the scratch folder and read back: cuts the lineage, keeps
     column pruning and statistics, and survives lost executors."""

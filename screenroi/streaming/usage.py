@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.domain import normalize_region
 from ..operators.metrics import prepare_usage
+from ..session import child_names, path_exists
 from ..sources.events import read_play_events
 from ..sources.files import by_partition
 
@@ -113,29 +114,57 @@ def _partials(batch: DataFrame) -> DataFrame:
     return (
         plays.withColumn("event_year", F.coalesce("year", F.lit(_NO_YEAR)))
         .groupBy("title_id", "region", "event_year", "user_id")
-        .agg(F.sum(F.col("watch_duration_mins").cast("decimal(18,2)")).alias("minutes"))
+        .agg(F.sum(F.col("watch_duration_mins").cast("decimal(18,2)")).cast("decimal(28,2)").alias("minutes"))
         .withColumn("bucket", F.pmod(F.xxhash64("title_id"), F.lit(TITLE_BUCKETS)).cast("int"))
     )
 
 
+_FOLDERS = ["event_year", "bucket"]
+
+
+def _landed(spark: SparkSession, landing: str, upto: int, bases_upto: int | None = None) -> DataFrame:
+    """Partial sums of batches 0 to ``upto``: the last finished base (up to ``bases_upto``) and the
+    batches after it."""
+    last = upto if bases_upto is None else bases_upto
+    bases = [int(n.partition("=")[2]) for n in child_names(spark, f"{landing}/bases")
+             if path_exists(spark, f"{landing}/bases/{n}/_SUCCESS")]
+    base = max((k for k in bases if k <= last), default=None)
+    parts = [] if base is None else [f"{landing}/bases/upto={base}"]
+    parts += [f"{landing}/batches/batch_id={k}" for k in range(0 if base is None else base + 1, upto + 1)]
+    out = None
+    for path in parts:  # at most `compact_every` and one
+        one = spark.read.parquet(path)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def start_usage_refresh(spark: SparkSession, source: str, landing: str, output: str, checkpoint: str,
-                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        available_now: bool = True, max_files_per_trigger: int | None = None,
+                        compact_every: int = 20) -> StreamingQuery:
     """STR4: land each micro-batch as partial sums, then recompute exact usage of the groups it touched.
 
     A batch reads back only the folders of its own years and title buckets, and of those only its
-    groups; raw events are never read again."""
+    groups; raw events are never read again. Every ``compact_every`` batches the sums so far are
+    merged into a new base, so a batch looks at that many folders at most."""
     events = read_play_events(spark, source, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    folders = ["event_year", "bucket"]
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, path: str) -> None:
         # a replayed batch overwrites its own folder
-        target = f"{landing}/batch_id={batch_id}"
-        by_partition(_partials(batch), folders).write.mode("overwrite").partitionBy(*folders).parquet(target)
+        by_partition(df, _FOLDERS).write.mode("overwrite").partitionBy(*_FOLDERS).parquet(path)
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        target = f"{landing}/batches/batch_id={batch_id}"
+        write(_partials(batch), target)
+        if batch_id % compact_every == compact_every - 1:
+            # from older bases only: a replay must not read the base it overwrites
+            merged = _landed(spark, landing, batch_id, batch_id - 1).groupBy("title_id", "region", "user_id", *_FOLDERS).agg(
+                F.sum("minutes").cast("decimal(28,2)").alias("minutes"))
+            write(merged, f"{landing}/bases/upto={batch_id}")
         landed = spark.read.parquet(target)
         touched = landed.select("title_id", "region", "event_year").distinct()
         # at most TITLE_BUCKETS values, and the years of the batch
         own = landed.agg(F.collect_set("event_year").alias("years"), F.collect_set("bucket").alias("buckets")).first()
-        pruned = spark.read.parquet(landing).filter(
+        pruned = _landed(spark, landing, batch_id).filter(
             F.col("event_year").isin(own.years) & F.col("bucket").isin(own.buckets))
         groups = pruned.join(touched, ["title_id", "region", "event_year"], "left_semi").groupBy(
             "title_id", "region", "event_year").agg(

@@ -2,8 +2,9 @@ from pyspark.sql import functions as F
 
 from screenroi.operators.metrics import prepare_usage, usage_by_title_region_year
 from screenroi.sources.events import land_play_events, read_play_events
+from screenroi.session import child_names
 from screenroi.streaming.usage import (
-    events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh, stream_usage,
+    _landed, events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh, stream_usage,
 )
 
 from conftest import rows
@@ -79,15 +80,20 @@ def test_refresh_keeps_events_without_a_time(spark, scratch):
     assert got == {2024: (1.0, 2), None: (40 / 60.0, 2)}
 
 
-def test_refresh_reads_only_its_titles(spark, scratch):
-    """A batch reads back the folders of its own title buckets, not all that was landed."""
+def test_refresh_compacts_and_stays_exact(spark, scratch):
+    """Ten batches with a base every three: a batch looks at four folders at most, and totals stay exact."""
     src = f"{scratch}/src"
+    columns = "user_id string, title_id string, event string, watch_duration_mins int, timestamp string, region string, device string"
     args = (spark, src, f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt")
-    for k in range(6):
+    for k in range(10):
         land_play_events(spark.createDataFrame(
-            [(f"u{k}", f"title{k}", "play", 60, "2024-03-01T10:00:00", "US", "TV")],
-            "user_id string, title_id string, event string, watch_duration_mins int, timestamp string, region string, device string"), src)
-        start_usage_refresh(*args).awaitTermination()
-    log = spark.read.parquet(f"{scratch}/out")
-    assert log.groupBy("batch_id").count().filter("count <> 1").isEmpty() and log.count() == 6
-    assert spark.read.parquet(f"{scratch}/landing").select("bucket").distinct().count() > 1
+            [(f"u{k % 4}", f"t{k % 3}", "play", 60 + k, "2024-03-01T10:00:00", "US", "TV"),
+             (f"u{k}", f"own{k}", "play", 6, "2023-03-01T10:00:00", "US", "TV")], columns), src)
+        start_usage_refresh(*args, compact_every=3).awaitTermination()
+    expected = usage_by_title_region_year(prepare_usage(events_to_watch(read_play_events(spark, src))))
+    assert rows(read_latest(spark, f"{scratch}/out", ["title_id", "region", "year"])) == rows(expected)
+    assert child_names(spark, f"{scratch}/landing/bases") == ["upto=2", "upto=5", "upto=8"]
+    # each batch wrote only the groups it touched
+    assert spark.read.parquet(f"{scratch}/out").count() == 20
+    plan = _landed(spark, f"{scratch}/landing", 9)
+    assert len({f.rsplit("/event_year", 1)[0] for f in plan.inputFiles()}) == 2  # the base of 8 and batch 9

@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from screenroi.llm.common import materialize, ship_package, text_or_empty
 from screenroi.llm.tokens import slices
 
-TRAIN_ROWS = 24_000
+TRAIN_ROWS = 16_000
 BUCKETS = 1 << 20
 #: Terms kept for the machine: the most telling, with at least this likelihood-ratio statistic.
-TERMS, LEAST_G2 = 4096, 11.0
+TERMS, LEAST_G2 = 1024, 11.0
 PREFIXES = range(3, 7)
 FACTORS = 8
-EPOCHS, RATE, DECAY = 150, 0.05, 1e-3
+EPOCHS, RATE, DECAY = 100, 0.05, 1e-3
 CACHE_WORDS = 500_000
 _CHUNK = 8 << 20
 
@@ -115,11 +115,13 @@ class FactorizationMachine:
 
     def margins(self, n: int, row: np.ndarray, term: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """z of rows 0 to n - 1, and the rows' sums of v x."""
-        vx = self.v[term] * x[:, None]
-        sums = np.stack([np.bincount(row, vx[:, f], n) for f in range(FACTORS)], axis=1)
-        squares = np.bincount(row, (vx * vx).sum(axis=1), n)
-        z = self.w0 + np.bincount(row, self.w[term] * x, n) + 0.5 * ((sums * sums).sum(axis=1) - squares)
-        return z, sums
+        sums = np.empty((n, FACTORS))
+        pairs = np.zeros(n)
+        for f in range(FACTORS):  # one factor at a time: the memory of one column of values
+            vx = self.v[:, f][term] * x
+            sums[:, f] = np.bincount(row, vx, n)
+            pairs += sums[:, f] ** 2 - np.bincount(row, vx * vx, n)
+        return self.w0 + np.bincount(row, self.w[term] * x, n) + 0.5 * pairs, sums
 
     def fit(self, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> None:
         """Full-batch Adam on the log loss with weight decay; the same result on every run."""
@@ -132,7 +134,7 @@ class FactorizationMachine:
             g_w = np.bincount(term, each, len(self.w)) + DECAY * self.w
             g_v = np.empty_like(self.v)
             for f in range(FACTORS):
-                g_v[:, f] = np.bincount(term, each * (sums[row, f] - self.v[term, f] * x), len(self.w))
+                g_v[:, f] = np.bincount(term, each * (sums[:, f][row] - self.v[:, f][term] * x), len(self.w))
             g_v += DECAY * self.v
             for k, (name, g) in enumerate((("w0", error.sum()), ("w", g_w), ("v", g_v))):
                 s = state[k]

@@ -30,7 +30,7 @@ TOUCHING = f"{_WHITE} | {_WHITE}"
 #: Bounds on what a worker keeps: pieces, and bytes of text in them. Bytes laid out at a time.
 CACHE_PIECES = 800_000
 CACHE_BYTES = 48 << 20
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True

@@ -42,8 +42,9 @@ DISTANCE_BINS = 2048
 
 # ---- base counts -------------------------------------------------------------------------------
 
-def _repeat_words(windows: Column) -> Column:
-    """Words inside windows (given by hash) that occur twice or more.
+def _repeat_words(windows: Column) -> tuple[Column, Column, Column, Column]:
+    """Expressions for the columns mask, keys, spots and the number of words inside windows (given by
+    hash) that occur twice or more; each needs the ones before it as columns.
 
     Window hashes are sorted with their position in the low bits, so equal ones are neighbours;
     the full hashes of neighbours are compared. O(n log n) in the length of the text.

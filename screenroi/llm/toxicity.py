@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from screenroi.llm.common import materialize, ship_package, text_or_empty
 from screenroi.llm.tokens import slices
 
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 24_000
 BUCKETS = 1 << 20
 #: Terms kept for the machine: the most telling, with at least this likelihood-ratio statistic.
-TERMS, LEAST_G2 = 1024, 11.0
+TERMS, LEAST_G2 = 4096, 11.0
 PREFIXES = range(3, 7)
 FACTORS = 8
-EPOCHS, RATE, DECAY = 100, 0.05, 1e-3
+EPOCHS, RATE, DECAY = 150, 0.05, 1e-3
 CACHE_WORDS = 500_000
 _CHUNK = 8 << 20
 

@@ -38,6 +38,23 @@ def test_counts_of_terms():
     assert {r for r, _ in found} == {0, 1, 2} and (2, t._bucket("w:x")) not in found  # each has a length
 
 
+def test_many_telling_terms(spark):
+    """Some 3,000 words of their own kind each, far more telling terms than a machine of 1,024 holds: a single
+    word is told apart for most of them."""
+    rng = np.random.default_rng(1)
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c for a in letters for b in letters for c in letters]
+    words = [words[k] for k in rng.permutation(len(words))[:3000]]
+    kinds = [words[:1500], words[1500:]]
+    rows = [(2 * k + kind, " ".join(kinds[kind][i] for i in rng.integers(0, 1500, 20)), kind)
+            for k in range(1500) for kind in (0, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    machine = t.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scores = machine.scores(pa.array([w for kind in kinds for w in kind]), t.TermCounter(machine.number.get))
+    neutral = machine.scores(pa.array(["zzz"]), t.TermCounter(machine.number.get))[0]
+    assert (scores[:1500] < neutral).mean() > 0.5 and (scores[1500:] > neutral).mean() > 0.5
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")

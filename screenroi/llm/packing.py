@@ -5,8 +5,9 @@ digests move, no texts or ids). Pieces are dealt evenly to tasks; a task packs g
 ``GROUP_PIECES``: best fit decreasing first, then a local search that takes the emptiest bins
 apart. Its steps move a document, exchange one for one, or take one longer document against two
 shorter ones of a fuller bin. Every step raises the sum of squared fills, so the search ends, and
-bins that become empty are dropped. It stops when the free room left is less than one bin (no
-packing of the group is shorter) or when ``PATIENCE`` bins in a row could not be emptied.
+bins that become empty are dropped. Bins of any number of documents take part. It stops when the
+free room left is less than one bin (no packing of the group is shorter) or when a whole round
+over all underfull bins changes nothing.
 
 A group loses less than a bin or two against packing all pieces at once, whatever the input.
 """
@@ -14,8 +15,8 @@ A group loses less than a bin or two against packing all pieces at once, whateve
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,6 @@ from screenroi.llm.tokens import CHUNK_BYTES, Encoder, slices, tokenizer_path
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 1 << 17
-PATIENCE = 64
-#: The search exchanges within bins of at most so many documents; fuller-grained ones only receive.
-SLOTS = 6
-_PAIRS = list(combinations(range(SLOTS), 2))
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -91,85 +88,119 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Raises the sum of squared fills of underfull bins until bins empty."""
+    """Raises the sum of squared fills of underfull bins until bins empty.
+
+    Bins are indexed by room; a bit set of a bin holds every length that one or two of its documents
+    have together, whatever their number, and that of a room all of its bins' (and, until it is next
+    made anew, some of bins that have left).
+    """
 
     def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int):
-        self.lengths, self.capacity = lengths, capacity
+        self.lengths, self.capacity = lengths.tolist(), capacity
         self.fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
         self.bins = bins
-        self.under = np.flatnonzero(self.fill < capacity)
-        self.row = {b: r for r, b in enumerate(self.under.tolist())}
-        self.room = capacity - self.fill[self.under]
-        self.slots = np.zeros((len(self.under), SLOTS), np.int64)  # lengths; 0 where empty or not exchanged
-        for r in range(len(self.under)):
-            self._refresh(r)
-
-    def _refresh(self, r: int) -> None:
-        items = self.bins[self.under[r]]
-        self.slots[r] = 0
-        if len(items) <= SLOTS:
-            self.slots[r, :len(items)] = self.lengths[items]
-        self.room[r] = self.capacity - int(self.lengths[items].sum())
-
-    def _gain(self, grow: np.ndarray, fill: int) -> np.ndarray:
-        """Half the rise of the sum of squares when fuller bins grow by ``grow``; below 0 if not allowed."""
-        full = self.capacity - self.room
-        return np.where((grow > 0) & (grow <= self.room) & (full >= fill), grow * (full - fill + grow), -1)
+        self.room = (capacity - self.fill).tolist()
+        self.gives = [0] * len(bins)
+        self.at: dict[int, dict[int, None]] = {}  # room -> its bins
+        self.any: dict[int, int] = {}  # room -> lengths they may give
+        for b in range(len(bins)):
+            self._enter(b)
+
+    def _enter(self, b: int) -> None:
+        room = self.room[b]
+        if not 0 < room < self.capacity:
+            return
+        singles = pairs = 0
+        for k in self.bins[b]:
+            pairs |= singles << self.lengths[k]
+            singles |= 1 << self.lengths[k]
+        self.gives[b] = singles | pairs
+        self.at.setdefault(room, {})[b] = None
+        self.any[room] = self.any.get(room, 0) | self.gives[b]
+
+    def _leave(self, b: int) -> None:
+        room = self.room[b]
+        if b in self.at.get(room, ()):
+            del self.at[room][b]
+            if not self.at[room]:
+                del self.at[room], self.any[room]
+
+    def _exchange(self, n: int, room: int) -> tuple[int, int] | None:
+        """(bin, length it gives) that leaves a bin of this room fullest on taking ``n``."""
+        low = max(1, n - room)
+        while True:
+            found = self.any[room] >> low
+            give = low + (found & -found).bit_length() - 1
+            if not found or give >= n:
+                return None
+            for b in self.at[room]:
+                if self.gives[b] >> give & 1:
+                    return b, give
+            self.any[room] = 0
+            for b in self.at[room]:
+                self.any[room] |= self.gives[b]
 
     def _step(self, source: int) -> bool:
-        """The best change that takes tokens from bin ``source``; False if there is none."""
-        items = self.bins[self.under[source]]
-        fill = self.capacity - int(self.room[source])
-        best = (0, None)
+        """Makes the best change that takes tokens from bin ``source``, which is not in the index; False if there
+        is none."""
+        items, fill = self.bins[source], self.capacity - self.room[source]
+        rooms = sorted(r for r in self.at if r <= self.room[source])  # fuller bins only
+        best, chosen = 0, None
         for k in sorted(items, key=lambda i: -self.lengths[i]):
-            n = int(self.lengths[k])
-            options = [((), np.full(len(self.room), n))]
-            options += [((s,), np.where(self.slots[:, s] > 0, n - self.slots[:, s], 0)) for s in range(SLOTS)]
-            options += [((s, t), np.where(self.slots[:, t] > 0, n - self.slots[:, s] - self.slots[:, t], 0))
-                        for s, t in _PAIRS]
-            for back, grow in options:
-                gain = self._gain(grow, fill)
-                gain[source] = -1
-                r = int(np.argmax(gain))
-                if gain[r] > best[0]:
-                    best = (int(gain[r]), (k, r, back))
-                if not back and best[1] is not None and best[1][2] == ():
-                    break  # it can simply move
-            if best[1] is not None and best[1][2] == ():
+            n = self.lengths[k]
+            fits = bisect_left(rooms, n)
+            if fits < len(rooms):  # it can simply move
+                chosen = (k, next(iter(self.at[rooms[fits]])), 0)
                 break
-        if best[1] is None:
+            for room in rooms:
+                full = self.capacity - room
+                most = min(room, n - 1)
+                if most * (full - fill + most) <= best:
+                    continue
+                found = self._exchange(n, room)
+                if found and (gain := (n - found[1]) * (full - fill + n - found[1])) > best:
+                    best, chosen = gain, (k, *found)
+        if chosen is None:
             return False
-        k, r, back = best[1]
-        target = self.bins[self.under[r]]
-        given = [target[s] for s in back]
-        items.remove(k)
-        for g in given:
-            target.remove(g)
-        target.append(k)
-        items.extend(given)
-        self._refresh(r)
-        self._refresh(source)
+        k, target, give = chosen
+        self._leave(target)
+        given = self._pieces(target, give)
+        for b, out, into in ((source, [k], given), (target, given, [k])):
+            self.bins[b] = [i for i in self.bins[b] if i not in out] + into
+            self.room[b] += sum(self.lengths[i] for i in out) - sum(self.lengths[i] for i in into)
+        self._enter(target)
         return True
 
+    def _pieces(self, b: int, give: int) -> list[int]:
+        """One document of bin ``b``, or else two, of ``give`` tokens together; none for 0."""
+        of: dict[int, int] = {}
+        for k in self.bins[b] if give else ():
+            n = self.lengths[k]
+            if n == give:
+                return [k]
+            if give - n in of:
+                pair = [of[give - n], k]
+            of[n] = k
+        return pair if give else []
+
     def run(self) -> list[list[int]]:
-        tried: set[int] = set()
-        failed = 0
-        while failed < PATIENCE and len(self.room) > 1:
-            open_rows = self.room < self.capacity
-            if int(self.room[open_rows].sum()) < self.capacity:
-                break
-            rows = [r for r in np.argsort(-np.where(open_rows, self.room, -1), kind="stable")[:len(tried) + 1].tolist()
-                    if r not in tried and open_rows[r]]
-            if not rows:
-                break
-            source = rows[0]
-            while self.bins[self.under[source]] and self._step(source):
-                pass
-            if self.bins[self.under[source]]:
-                tried.add(source)
-                failed += 1
-            else:
-                failed = 0
+        """Rounds over all underfull bins, from the emptiest on. Ends when a whole round changes nothing or the
+        free room is less than one bin."""
+        free = sum(room * len(bins) for room, bins in self.at.items())
+        changed = True
+        while changed and free >= self.capacity:
+            changed = False
+            for source in sorted((b for bins in self.at.values() for b in bins), key=lambda b: (-self.room[b], b)):
+                if free < self.capacity:
+                    break
+                if not 0 < self.room[source] < self.capacity:
+                    continue
+                self._leave(source)
+                while self.bins[source] and self._step(source):
+                    changed = True
+                if not self.bins[source]:
+                    free -= self.capacity
+                self._enter(source)
         return [b for b in self.bins if b]
 
 

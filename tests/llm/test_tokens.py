@@ -1,6 +1,7 @@
 """Token files, packing and the shared encoder against the tokenizers library."""
 
 import collections
+import itertools
 import random
 import zlib
 
@@ -145,6 +146,27 @@ def test_local_search_empties_bins():
     assert max(fills) <= 1024 and len(found) < len(first) and sum(f * f for f in fills) > squares
 
 
+@pytest.mark.parametrize("n, low, high", [(10000, 20, 200), (20000, 20, 200), (600, 200, 600)])
+def test_local_search_leaves_no_step(n, low, high):
+    """Bins of many short documents exchange too, and at the end no move, 1:1 or 2:1 exchange into a fuller bin is left."""
+    lengths = np.random.default_rng(3).integers(low, high + 1, n)
+    first = best_fit(lengths, 1024)
+    found = LocalSearch([list(b) for b in first], lengths, 1024).run()
+    assert sorted(k for b in found for k in b) == list(range(n))
+    fills = [int(lengths[b].sum()) for b in found]
+    assert max(fills) <= 1024 and len(found) < len(first)
+    if sum(1024 - f for f in fills) < 1024:
+        return  # no packing is shorter
+    own = [sorted(lengths[b].tolist()) for b in found]
+    gives = [{0, *x, *(p + q for p, q in itertools.combinations(x, 2))} for x in own]
+    under = [b for b, f in enumerate(fills) if f < 1024]
+    for a in under:
+        for b in under:
+            if a != b and fills[b] >= fills[a]:
+                steps = {(piece, g) for piece in own[a] for g in gives[b] if 0 < piece - g <= 1024 - fills[b]}
+                assert not steps, (own[a], own[b])
+
+
 def test_pack_extremes():
     for lengths in ([], [1024], [1], [1024, 1, 1023], [512] * 7, [1] * 3000):
         bins = pack(np.array(lengths, np.int64))

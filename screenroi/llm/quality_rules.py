@@ -1,7 +1,7 @@
 """Quality rules: base counts, then robust multivariate outliers per language and source.
 
-Four transformed statistics of a document (log mean word length, log symbols per word, share of
-repeated lines, share of repeated words) form its vector. Per group of (lang, source) the minimum
+Four transformed statistics of a document (log mean word length, log symbols per word, log of
+repeated lines and of repeated words, each plus one) form its vector. Per group of (lang, source) the minimum
 covariance determinant estimate of centre and scatter is found by concentration steps: from
 coordinate medians and quartile spreads, take the h = 75 % of rows nearest by Mahalanobis
 distance, compute their mean and covariance, and repeat. A document further from its group's
@@ -28,9 +28,10 @@ WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Statistics in thousandths, and the least standard deviation assumed of each: what varies less
-#: in a group than this is no ground for rejection.
+#: in a group than this is no ground for rejection. Each statistic can pass the cutoff alone: where a
+#: group has no scatter beyond these, from 8 repeated lines or 127 repeated words on.
 STATS = ("s_word_len", "s_symbols", "s_dup_lines", "s_repeat")
-SPREAD_FLOOR = (100.0, 60.0, 200.0, 150.0)
+SPREAD_FLOOR = (100.0, 60.0, 450.0, 1000.0)
 #: Share of a group in the h-subset, and the probability behind the cutoff.
 SUBSET = 0.75
 CUTOFF_P = 0.9999
@@ -107,7 +108,7 @@ def base_counts(docs: DataFrame, keep: list[Column]) -> DataFrame:
 def _statistics() -> list[Column]:
     n = F.greatest(F.col("n_words"), F.lit(1))
     values = (F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n), F.log1p(F.col("n_symbols") / n),
-              F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), F.col("n_repeat_words") / n)
+              F.log1p("n_dup_lines"), F.log1p("n_repeat_words"))
     return [F.round(1000 * v).cast("long").alias(name) for v, name in zip(values, STATS, strict=True)]
 
 

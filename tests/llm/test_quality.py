@@ -33,6 +33,23 @@ def test_verdicts_on_labels(spark):
     assert sum(junk) <= 0.1 * len(junk) and len(junk) > 20
 
 
+def test_repetition_alone_rejects(spark):
+    """Repeated lines or repeated words alone pass the cutoff, below the base rule's share."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    line = lambda n: " ".join(word() for _ in range(n))
+    texts = ["\n".join(line(10) for _ in range(20)) for _ in range(80)]
+    texts.append("\n".join(f"{line(10)}\nsevera common wordss" for _ in range(20)))  # 19 repeated lines, windows differ
+    twice = line(100)
+    texts.append("\n".join([twice, *(line(10) for _ in range(80)), twice]))  # 200 of 1,000 words
+    docs = spark.createDataFrame([(k, x, "en", "a") for k, x in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = {r.doc_id: r for r in q.quality_rules(docs).collect()}
+    assert (rows[80].n_dup_lines, rows[80].n_repeat_words) == (19, 0)
+    assert (rows[81].n_dup_lines, rows[81].n_repeat_words) == (1, 200)
+    assert not any(r.base_failed for r in rows.values())
+    assert {k for k, r in rows.items() if not r.kept} == {80, 81}
+
+
 def _vectors(spark, points, pool="p"):
     return spark.createDataFrame([(pool, *map(int, p), 1) for p in points],
                                  "pool string, " + ", ".join(f"{s} long" for s in q.STATS) + ", n long")

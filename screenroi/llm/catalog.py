@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from screenroi.llm.collocations import collocations
 from screenroi.llm.common import read_table
 from screenroi.llm.exact_dedup import exact_dedup
 from screenroi.llm.line_dedup import line_dedup_digest
@@ -17,6 +18,8 @@ from screenroi.llm.simhash import simhash_dedup
 from screenroi.llm.suffix_dedup import suffix_dedup_digest
 from screenroi.llm.token_files import token_files
 from screenroi.llm.toxicity import toxicity
+from screenroi.llm.url_filter import rule_labels, url_verdicts
+from screenroi.llm.whitening import whiten
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,19 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_verdicts(pages, rule_labels(pages))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -70,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_url_filter": op12_url_filter,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -110,4 +129,43 @@ ORACLE_SQL: dict[str, str] = {
         FROM d
         WINDOW w AS (PARTITION BY sha ORDER BY points DESC, doc_id NULLS LAST)
     """,
+    "op11_collocations": r"""
+        WITH p AS (
+          SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM (SELECT coalesce(lang, 'und') AS lang,
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+                FROM documents)),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+        totals AS (SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang),
+        g AS (
+          SELECT lang, size, list_slice(words, pos, pos + size - 1) AS phrase
+          FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+                FROM w CROSS JOIN range(1, 6) AS s(size) WHERE len(words) >= size)),
+        f AS (
+          SELECT lang, size, array_to_string(phrase, ' ') AS phrase, any_value(phrase) AS words, count(*) AS f
+          FROM g GROUP BY lang, size, phrase HAVING count(*) >= 100),
+        c AS (SELECT * FROM f WHERE size > 1),
+        k AS (
+          SELECT c.lang, c.phrase, c.f AS a, cut, l.f AS l, r.f AS r, n,
+                 (1000 * CAST(c.f AS HUGEINT) * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+          FROM (SELECT *, unnest(range(1, size)) AS cut FROM c) c
+          JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.words, 1, cut), ' ')
+          JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.words, cut + 1, c.size), ' ')
+          JOIN totals ON totals.lang = c.lang),
+        lowest AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS turn FROM k),
+        inner_ AS (
+          SELECT lang, array_to_string(list_slice(words, pos, pos + m - 1), ' ') AS phrase, max(f) AS around
+          FROM (SELECT *, unnest(range(1, size - m + 2)) AS pos
+                FROM (SELECT *, unnest(range(2, size)) AS m FROM c))
+          GROUP BY ALL),
+        ranked AS (
+          SELECT x.lang, x.phrase, a, l, r, n, score,
+                 row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, x.phrase) AS rank
+          FROM lowest x LEFT JOIN inner_ USING (lang, phrase)
+          WHERE turn = 1 AND (around IS NULL OR 100 * around < 100 * a))
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+               CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked WHERE rank <= 2000
+    """,
 }

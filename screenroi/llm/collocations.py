@@ -39,14 +39,16 @@ from screenroi.llm.tokens import slices
 SUPPORT, LONGEST, TOP = 100, 5, 2000
 #: A phrase goes if a longer candidate around it has this share of its count, in hundredths.
 CLOSED_PERCENT = 100
-#: Words that a task holds before it mines them as a shard, and the bytes of text dealt to a task.
-SHARD_WORDS, SHARD_BYTES = 8_000_000, 48 << 20
+#: Words that a task holds at most before it mines them as a shard, and the bytes of text dealt to a task: fewer,
+#: since scan tasks are of uneven size and what is left of one would be a shard of low support.
+SHARD_WORDS, SHARD_BYTES = 16_000_000, 64 << 20
 #: Candidate keys broadcast at a time (8 bytes each).
 KEYS = 4_000_000
 UNKNOWN = "und"
 _CHUNK = 4 << 20
 _WORDS = 500_000
 _ROWS = 100_000
+_PARTS = 16
 
 _FOLD = bytes(range(256)).translate(bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9))
 _FOLD = _FOLD.translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
@@ -54,6 +56,20 @@ _FOLD = _FOLD.translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 12
 
 # ---- one shard -----------------------------------------------------------------------------------
 
+def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each entry's value, where each value first stands, how often it occurs)."""
+    order = np.argsort(code, kind="stable")
+    own = code[order]
+    new = np.empty(len(own), bool)
+    new[:1] = True
+    np.not_equal(own[1:], own[:-1], out=new[1:])
+    del own
+    starts = np.flatnonzero(new)
+    name = np.empty(len(order), np.int32)
+    name[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return name, order[starts], np.diff(starts, append=len(order)).astype(np.int32)
+
+
 class Shard:
     """Numbered words of one language, in order of reading.
 
@@ -64,38 +80,68 @@ class Shard:
     def __init__(self):
         self.number: defaultdict[bytes, int] = defaultdict()
         self.number.default_factory = self.number.__len__
-        self.ids: list[np.ndarray] = []
-        self.room: list[np.ndarray] = []
+        self.ids, self.room = np.empty(0, np.int32), np.empty(0, np.uint8)
+        self.held = 0
         self.words = 0
         self.bytes = 0
 
     def add(self, words: list[bytes], sizes: np.ndarray, ahead: int = 0) -> None:
         """``words`` of pieces with ``sizes`` words each; the last ``ahead`` start nothing."""
-        ids = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
-        ends = np.cumsum(sizes)
-        room = np.minimum(np.repeat(ends, sizes) - np.arange(len(words)), LONGEST).astype(np.uint8)
-        if ahead:
-            room[-ahead:] = 0
-        self.ids.append(ids)
-        self.room.append(room)
+        a, b = self.held, self.held + len(words)
+        if b > len(self.ids):  # grown in place
+            self.ids.resize(b + b // 4, refcheck=False)
+            self.room.resize(b + b // 4, refcheck=False)
+        self.ids[a:b] = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        self.room[a:b] = np.minimum(np.repeat(np.cumsum(sizes), sizes) - np.arange(len(words)), LONGEST)
+        self.room[b - ahead:b] = 0
+        self.held = b
         self.words += len(words) - ahead
 
-    def levels(self, keep: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(k, words of each kept phrase as numbers, counts) for k from 1 on. ``keep`` says from the words and
-        counts of the phrases which are kept; phrases grow from kept ones only."""
-        ids, room = np.concatenate(self.ids), np.concatenate(self.room)
-        at = np.flatnonzero(room).astype(np.int32)
-        code = ids[at].astype(np.int64)
+    def _lengthen(self, name: np.ndarray, on: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Renames the phrases of k - 1 words where ``on`` to those of k, -1 elsewhere: pairs of name and last word.
+        Returns where each stands first and its count. A share of the names at a time, to save memory."""
+        part = np.where(on, name & (_PARTS - 1), _PARTS).astype(np.uint8)
+        name[part == _PARTS] = -1
+        firsts, counts = [], []
+        done = 0
+        for share in range(_PARTS):
+            own = np.flatnonzero(part == share).astype(np.int32)
+            code = name[own].astype(np.int64)
+            code *= len(self.number)
+            code += self.ids[own + np.int32(k - 1)]
+            named, first, count = _numbered(code)
+            del code
+            named += np.int32(done)
+            name[own] = named
+            firsts.append(own[first])
+            counts.append(count)
+            done += len(count)
+        return np.concatenate(firsts), np.concatenate(counts)
+
+    def levels(self, keep: Callable[[Callable[[int, int], np.ndarray], np.ndarray], np.ndarray]) -> Iterator[tuple]:
+        """(k, words, counts) of the kept phrases of k words, for k from 1 on; ``words(a, b)`` gives phrases a to b as
+        rows of word numbers. ``keep`` says from such a function and the counts which phrases are kept; phrases grow
+        from kept ones only."""
+        ids, room = self.ids[:self.held], self.room[:self.held]
+        name, on = ids.copy(), room > 0
+        counts = np.bincount(ids[on], minlength=len(self.number)).astype(np.int32)
+        first = np.zeros(len(counts), np.int32)
+        first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1, dtype=np.int32)
         for k in range(1, LONGEST + 1):
-            if not len(at):
+            if k > 1:
+                first, counts = self._lengthen(name, on, k)
+
+            def words(a: int, b: int, starts: np.ndarray = first, k: int = k) -> np.ndarray:
+                return ids[starts[a:b, None] + np.arange(k, dtype=np.int32)]
+
+            kept = keep(words, counts) & (counts > 0)
+            of = np.flatnonzero(kept)
+            yield k, lambda a, b, starts=first[of], words=words: words(a, b, starts), counts[of]
+            if not len(of):
                 return
-            _, first, name, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            phrases = ids[at[first][:, None] + np.arange(k)]
-            kept = keep(phrases, counts)
-            yield k, phrases[kept], counts[kept]
-            on = kept[name] & (room[at] > k)
-            at, name = at[on], name[on]
-            code = name.astype(np.int64) * len(self.number) + ids[at + k]
+            on = kept[name]
+            on &= name >= 0
+            on &= room > k
 
     def vocabulary(self) -> np.ndarray:
         out = np.empty(len(self.number), dtype=object)
@@ -143,21 +189,21 @@ def _read(batches: Iterator[pa.RecordBatch], mined: Callable[[str, Shard], Itera
         yield from mined(lang, shards.pop(lang))
 
 
-def _rows(lang: str, phrases: list[bytes], counts: np.ndarray, size: int, least: int) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(phrases), _ROWS):
-        part = pa.array(phrases[a:a + _ROWS], pa.binary()).cast(pa.string())
-        n = len(part)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n, pa.string()), pa.array(np.full(n, size, np.int32)), part,
-             pa.array(counts[a:a + _ROWS].astype(np.int64)), pa.array(np.full(n, least, np.int64))],
-            ["lang", "size", "phrase", "n", "least"])
+def _batch(lang: str, phrases: list[bytes], counts: np.ndarray, size: int, least: int) -> pa.RecordBatch:
+    n = len(phrases)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * n, pa.string()), pa.array(np.full(n, size, np.int32)),
+         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64)), pa.array(np.full(n, least, np.int64))],
+        ["lang", "size", "phrase", "n", "least"])
 
 
-_ROW = "lang string, size int, phrase string, n long, least long"
+def _rows(lang: str, vocabulary: np.ndarray, words, counts: np.ndarray, size: int, least: int) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(counts), _ROWS):
+        texts = list(map(b" ".join, vocabulary[words(a, a + _ROWS)].tolist()))
+        yield _batch(lang, texts, counts[a:a + _ROWS], size, least)
 
 
-def _texts(phrases: np.ndarray, vocabulary: np.ndarray) -> list[bytes]:
-    return list(map(b" ".join, vocabulary[phrases].tolist()))
+_ROW = "lang string, size int, phrase string, n long, least long"
 
 
 def _miner(support: int, lang_bytes: dict[str, int]):
@@ -166,10 +212,10 @@ def _miner(support: int, lang_bytes: dict[str, int]):
         least = max(1, -(-support * shard.bytes // max(1, lang_bytes.get(lang, 0))))
         if not shard.words:
             return
-        yield from _rows(lang, [b""], np.array([shard.words]), 0, least)
-        words = shard.vocabulary()
-        for k, phrases, counts in shard.levels(lambda _, counts: counts >= least):
-            yield from _rows(lang, _texts(phrases, words), counts, k, least)
+        yield _batch(lang, [b""], np.array([shard.words]), 0, least)
+        vocabulary = shard.vocabulary()
+        for k, words, counts in shard.levels(lambda _, counts: counts >= least):
+            yield from _rows(lang, vocabulary, words, counts, k, least)
 
     return lambda batches: _read(batches, mined)
 
@@ -208,16 +254,19 @@ def _counter(known):
         keys = known.value
         if not shard.words:
             return
-        words = shard.vocabulary()
-        own = _word_keys(words.tolist(), lang)
-
-        def keep(phrases: np.ndarray, _: np.ndarray) -> np.ndarray:
-            found = _mix(own[phrases]).view(np.int64)
-            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-            return keys[at] == found
-
-        for k, phrases, counts in shard.levels(keep):
-            yield from _rows(lang, _texts(phrases, words), counts, k, 0)
+        vocabulary = shard.vocabulary()
+        own = _word_keys(vocabulary.tolist(), lang)
+
+        def keep(words, counts: np.ndarray) -> np.ndarray:
+            kept = np.empty(len(counts), bool)
+            for a in range(0, len(counts), _ROWS):
+                found = _mix(own[words(a, a + _ROWS)]).view(np.int64)
+                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                kept[a:a + _ROWS] = keys[at] == found
+            return kept
+
+        for k, words, counts in shard.levels(keep):
+            yield from _rows(lang, vocabulary, words, counts, k, 0)
 
     return lambda batches: _read(batches, mined)
 

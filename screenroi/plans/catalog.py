@@ -221,6 +221,11 @@ def q_usage_by_title_region_year(spark, sf_dir):
     return _flow(spark, sf_dir).usage
 
 
+def q_usage_fractional_minutes(spark, sf_dir):
+    """Minutes with small fractions: a sum of rounded minutes would be off."""
+    return usage_by_title_region_year(prepare_usage(b.fractional_watch(b.Tables(spark, sf_dir))))
+
+
 def q_license_pick(spark, sf_dir):
     return _flow(spark, sf_dir).licensed
 
@@ -477,6 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_region": q_normalize_region,
     "content_type_map": q_content_type_map,
     "usage_by_title_region_year": q_usage_by_title_region_year,
+    "usage_fractional_minutes": q_usage_fractional_minutes,
     "license_pick": q_license_pick,
     "content_performance_core": q_content_performance_core,
     "content_performance": q_content_performance,

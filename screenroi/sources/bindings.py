@@ -86,6 +86,19 @@ def watch_history_raw(t: Tables) -> DataFrame:
     )
 
 
+def fractional_watch(t: Tables) -> DataFrame:
+    """One session per order line whose minutes have fractions of 2^-20, many far below a hundredth: their sums
+    fit a double exactly, so that any engine's sum of doubles can be held against them."""
+    li = t.lineitem
+    o = t.orders.select("o_orderkey", "o_custkey")
+    part = F.col("l_partkey")
+    whole = F.when(part % 4 == 0, F.lit(0)).otherwise(F.col("l_quantity"))
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").cast("string").alias("user_id"), F.col("l_partkey").cast("string").alias("title_id"),
+        F.col("l_returnflag").alias("region"), F.col("l_shipdate").alias("watch_date"),
+        (whole + (F.col("l_orderkey") * 37 + F.col("l_linenumber")) % 4001 / F.lit(float(1 << 20))).alias("watch_duration_mins"))
+
+
 def movies_raw(t: Tables) -> DataFrame:
     p = t.part
     size_mod = F.col("p_size") % 5

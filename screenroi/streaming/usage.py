@@ -7,9 +7,9 @@
 * ``start_daily_usage_stream``: runs ``stream_usage`` in update mode into a *changelog*
   table: every micro-batch writes the groups it changed to ``batch_id=N`` (overwritten on
   replay, so a retried batch is idempotent); ``read_latest`` keeps the newest row per group.
-* ``start_usage_refresh``: every micro-batch lands sums per (title, region, year, user), then
-  recomputes **exact** usage (sum, distinct viewers) for the (title, region, year) groups it
-  touched, from the landed sums of those titles, and writes them to the changelog.
+* ``start_usage_refresh``: every micro-batch lands its usage parts (exact sums of minutes by group, and
+  viewers), then recomputes **exact** usage for the (title, region, year) groups it touched, from
+  the landed parts of those titles, and writes them to the changelog.
 Checkpoints and tables live in shared storage given by the caller.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.domain import normalize_region
-from ..operators.metrics import prepare_usage
+from ..operators.metrics import merge_usage_parts, prepare_usage, usage_from_parts, usage_parts
 from ..session import child_names, path_exists
 from ..sources.events import read_play_events
 from ..sources.files import by_partition
@@ -106,17 +106,17 @@ TITLE_BUCKETS = 64
 _NO_YEAR = -1
 
 
+#: Groups of landed parts; the folder keys besides title and region.
+_GROUP = ("title_id", "region", "event_year", "bucket")
+
+
 def _partials(batch: DataFrame) -> DataFrame:
-    """Minutes per (title, region, year, user), with the folder keys ``event_year`` (-1 where the event
-    has no readable time) and ``bucket``."""
-    plays = prepare_usage(events_to_watch(batch)).filter(
-        F.col("title_id").isNotNull() & F.col("watch_duration_mins").isNotNull())
-    return (
-        plays.withColumn("event_year", F.coalesce("year", F.lit(_NO_YEAR)))
-        .groupBy("title_id", "region", "event_year", "user_id")
-        .agg(F.sum(F.col("watch_duration_mins").cast("decimal(18,2)")).cast("decimal(28,2)").alias("minutes"))
-        .withColumn("bucket", F.pmod(F.xxhash64("title_id"), F.lit(TITLE_BUCKETS)).cast("int"))
-    )
+    """The batch's usage parts, with the folder keys ``event_year`` (-1 where the event has no readable time)
+    and ``bucket``."""
+    plays = prepare_usage(events_to_watch(batch)).withColumns({
+        "event_year": F.coalesce("year", F.lit(_NO_YEAR)),
+        "bucket": F.pmod(F.xxhash64("title_id"), F.lit(TITLE_BUCKETS)).cast("int")})
+    return usage_parts(plays, _GROUP)
 
 
 _FOLDERS = ["event_year", "bucket"]
@@ -157,8 +157,7 @@ def start_usage_refresh(spark: SparkSession, source: str, landing: str, output:
         write(_partials(batch), target)
         if batch_id % compact_every == compact_every - 1:
             # from older bases only: a replay must not read the base it overwrites
-            merged = _landed(spark, landing, batch_id, batch_id - 1).groupBy("title_id", "region", "user_id", *_FOLDERS).agg(
-                F.sum("minutes").cast("decimal(28,2)").alias("minutes"))
+            merged = merge_usage_parts(_landed(spark, landing, batch_id, batch_id - 1), _GROUP)
             write(merged, f"{landing}/bases/upto={batch_id}")
         landed = spark.read.parquet(target)
         touched = landed.select("title_id", "region", "event_year").distinct()
@@ -166,10 +165,8 @@ def start_usage_refresh(spark: SparkSession, source: str, landing: str, output:
         own = landed.agg(F.collect_set("event_year").alias("years"), F.collect_set("bucket").alias("buckets")).first()
         pruned = _landed(spark, landing, batch_id).filter(
             F.col("event_year").isin(own.years) & F.col("bucket").isin(own.buckets))
-        groups = pruned.join(touched, ["title_id", "region", "event_year"], "left_semi").groupBy(
-            "title_id", "region", "event_year").agg(
-            (F.sum("minutes").cast("double") / F.lit(60.0)).alias("total_watch_hours"),
-            F.count_distinct("user_id").alias("unique_viewers"))
+        own_parts = merge_usage_parts(pruned.join(touched, ["title_id", "region", "event_year"], "left_semi"), _GROUP)
+        groups = usage_from_parts(own_parts, _GROUP)
         groups.select("title_id", "region", F.nullif("event_year", F.lit(_NO_YEAR)).alias("year"), "total_watch_hours",
                       "unique_viewers").write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 

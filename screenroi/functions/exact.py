@@ -10,8 +10,6 @@ result is that of ``math.fsum``. NaN and the infinities are bands of their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,10 +21,6 @@ _NAN, _PLUS, _MINUS = -1, -2, -3
 _WIDE = "decimal(38,0)"
 
 
-def _whole(text: str) -> Column:
-    return F.lit(text).cast(_WIDE)
-
-
 def _power(exponent: Column) -> Column:
     return F.pow(F.lit(2.0), exponent)
 
@@ -50,85 +44,79 @@ def exact_part(x: Column) -> Column:
     return F.when(x.isNotNull(), F.struct(band.alias("band"), found.alias("part")))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# Joining bands is stated as SQL text, which Spark parses at once: the same tree takes a second to build call by call.
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _wide(text: str | int) -> str:
+    return f"CAST({text} AS {_WIDE})"
 
 
-def _limbs(parts: Column, lowest: Column, highest: Column, sign: int) -> Column:
-    """struct(carry, limbs): ``sign`` times the sum in 32-bit limbs, lowest first; carry is -1 below zero, else 0."""
-    def own(j: Column) -> Column:
-        return F.aggregate(F.filter(parts, lambda p: p.band == j), _whole("0"),
-                           lambda a, p: (a + p.part * sign).cast(_WIDE))
+_ONE = f"{1 << _WIDTH}"  # of the next band
 
-    def step(state: Column, j: Column) -> Column:
-        return _let((state.carry + own(j)).cast(_WIDE), lambda t: _let(F.pmod(t, _whole(str(1 << _WIDTH))), lambda low: F.struct(
-            ((t - low) / _whole(str(1 << _WIDTH))).cast(_WIDE).alias("carry"),
-            F.concat(state.limbs, F.array(low.cast("long"))).alias("limbs"))))
 
-    start = F.struct(_whole("0").alias("carry"), F.array().cast("array<long>").alias("limbs"))
+def _limbs(parts: str, ends: str, sign: str) -> str:
+    """struct(carry, limbs): the sum, or less it, in 32-bit limbs, lowest first; carry is -1 below zero, else 0."""
+    own = f"aggregate(filter({parts}, p -> p.band = j), {_wide(0)}, (s, p) -> {_wide(f's {sign} p.part')})"
+    low = f"pmod(t, {_wide(_ONE)})"
+    step = _let("t", _wide(f"a.carry + {own}"), _let("low", low, (
+        f"named_struct('carry', {_wide(f'(t - low) / {_wide(_ONE)}')}, 'limbs', concat(a.limbs, array(CAST(low AS BIGINT))))")))
+    start = f"named_struct('carry', {_wide(0)}, 'limbs', CAST(array() AS ARRAY<BIGINT>))"
     # four limbs more than the highest band hold whatever is carried out of it
-    return F.aggregate(F.sequence(lowest, highest + 4), start, step)
+    return f"aggregate(sequence({ends}.low, {ends}.high + 4), {start}, (a, j) -> {step})"
 
 
-def _rounded(limbs: Column, lowest: Column) -> Column:
-    """The nearest double, ties to even, of limbs whose first has band ``lowest``."""
-    def of(top: Column) -> Column:
-        head = (F.get(limbs, top).cast(_WIDE) * _whole(str(1 << 64)) + F.coalesce(F.get(limbs, top - 1), F.lit(0)).cast(_WIDE)
-                * _whole(str(1 << 32)) + F.coalesce(F.get(limbs, top - 2), F.lit(0)).cast(_WIDE)).cast(_WIDE)
-        below = F.exists(F.slice(limbs, F.lit(1), F.greatest(top - 2, F.lit(0))), lambda v: v != 0)
-        spare = F.length(F.bin(F.get(limbs, top))) + 64 - 53
-        return _let(F.struct(head.alias("head"), spare.alias("spare")), lambda h: _let(
-            F.call_function("shiftleft", F.lit(1).cast("long"), h.spare).cast("decimal(20,0)"), lambda unit: _let(
-                F.struct(F.pmod(h["head"], unit).alias("rest"), unit.alias("unit")), lambda r: _let(
-                    ((h["head"] - r.rest) / r.unit).cast("long"), lambda q: _scaled(
-                        q + F.when((r.rest * 2 > r.unit) | ((r.rest * 2 == r.unit) & (below | (q % 2 == 1))), 1).otherwise(0),
-                        h.spare + (lowest + top - 2) * _WIDTH - _OFFSET)))))
-
-    return _let(F.array_max(F.transform(limbs, lambda v, i: F.when(v != 0, i))),
-                lambda top: F.when(top.isNull(), F.lit(0.0)).otherwise(of(top)))
-
-
-def _scaled(number: Column, exponent: Column) -> Column:
+def _scaled(number: str, exponent: str) -> str:
     """number * 2^exponent in two steps, since the power alone may leave the range of doubles."""
-    half = F.floor(exponent / 2)
-    return number.cast("double") * _power(half) * _power(exponent - half)
+    return _let("e", exponent, f"CAST({number} AS DOUBLE) * pow(2D, floor(e / 2)) * pow(2D, e - floor(e / 2))")
 
 
-def _joined(parts: Column) -> Column:
+def _rounded(limbs: str, lowest: str) -> str:
+    """The nearest double, ties to even, of limbs whose first has band ``lowest``."""
+    head = (f"{_wide(f'get({limbs}, top)')} * {_wide(1 << 64)} + {_wide(f'coalesce(get({limbs}, top - 1), 0L)')} * {_wide(1 << 32)}"
+            f" + {_wide(f'coalesce(get({limbs}, top - 2), 0L)')}")
+    below = f"exists(slice({limbs}, 1, greatest(top - 2, 0)), v -> v <> 0)"
+    up = f"CASE WHEN r.rest * 2 > r.unit OR (r.rest * 2 = r.unit AND ({below} OR q % 2 = 1)) THEN 1 ELSE 0 END"
+    number = _let("q", "CAST((h.head - r.rest) / r.unit AS BIGINT)", _scaled(
+        f"(q + {up})", f"h.spare + ({lowest} + top - 2) * {_WIDTH} - {_OFFSET}"))
+    unit = "CAST(shiftleft(1L, h.spare) AS DECIMAL(20,0))"
+    found = _let("h", f"named_struct('head', {_wide(head)}, 'spare', length(bin(get({limbs}, top))) + {64 - 53})",
+                 _let("r", f"named_struct('rest', pmod(h.head, {unit}), 'unit', {unit})", number))
+    return _let("top", f"array_max(transform({limbs}, (v, i) -> CASE WHEN v <> 0 THEN i END))",
+                f"CASE WHEN top IS NULL THEN 0D ELSE {found} END")
+
+
+def _joined(parts: str) -> str:
     """The sum over any bands."""
-    finite = F.filter(parts, lambda p: p.band >= 0)
-    bands = F.transform(finite, lambda p: p.band)
-
-    def signed(ends: Column) -> Column:
-        return _let(_limbs(finite, ends.low, ends.high, 1), lambda up: F.when(up.carry == 0, _rounded(up.limbs, ends.low)).otherwise(
-            -_rounded(_limbs(finite, ends.low, ends.high, -1).limbs, ends.low)))
-
-    total = F.when(F.size(finite) == 0, F.lit(0.0)).otherwise(
-        _let(F.struct(F.array_min(bands).alias("low"), F.array_max(bands).alias("high")), signed))
-    nan, plus, minus = (F.array_contains(F.transform(parts, lambda p: p.band), F.lit(band)) for band in (_NAN, _PLUS, _MINUS))
-    return (
-        F.when(nan | (plus & minus), F.lit(float("nan"))).when(plus, F.lit(float("inf")))
-        .when(minus, F.lit(float("-inf"))).otherwise(total)
-    )
+    signed = _let("plus", _limbs("fin", "ends", "+"), f"CASE WHEN plus.carry = 0 THEN {_rounded('plus.limbs', 'ends.low')} ELSE "
+                  + _let("minus", _limbs("fin", "ends", "-"), f"-{_rounded('minus.limbs', 'ends.low')}") + " END")
+    ends = "named_struct('low', array_min(fin.band), 'high', array_max(fin.band))"
+    total = _let("fin", f"filter({parts}, p -> p.band >= 0)", f"CASE WHEN size(fin) = 0 THEN 0D ELSE {_let('ends', ends, signed)} END")
 
+    def has(band: int) -> str:
+        return f"array_contains({parts}.band, {band})"
 
-def exact_total(parts: Column) -> Column:
-    """The sum as a double from an array of struct(band, part), null if it is empty. Beyond the largest double it
-    is infinite.
+    return (f"CASE WHEN {has(_NAN)} OR ({has(_PLUS)} AND {has(_MINUS)}) THEN double('NaN') WHEN {has(_PLUS)} THEN double('Infinity') "
+            f"WHEN {has(_MINUS)} THEN double('-Infinity') ELSE {total} END")
+
+
+def exact_total(parts: str) -> Column:
+    """The sum as a double from the column ``parts``, an array of struct(band, part); null if it is empty. Beyond
+    the largest double it is infinite.
 
     One band, or two neighbours, hold 32 to 64 binary orders of magnitude, so nearly every group: their sum is one
     decimal, which Java rounds to the nearest double."""
-    first, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-    low, high = F.least(first.band, second.band), F.greatest(first.band, second.band)
-    upper = F.when(first.band > second.band, first.part).otherwise(second.part)
-    lower = F.when(first.band > second.band, second.part).otherwise(first.part)
-    plain = low.between(3, 58)  # far from the ends of doubles
-    pair = (F.size(parts) == 2) & plain & (high - low == 1) & (F.abs(upper) < _whole(str(10 ** 27)))
-    unit = _power(low * _WIDTH - _OFFSET)
-    return (
-        F.when(F.size(parts) == 0, F.lit(None).cast("double"))
-        .when((F.size(parts) == 1) & plain, first.part.cast("double") * unit)
-        .when(pair, (upper.cast("decimal(28,0)") * F.lit(1 << _WIDTH).cast("decimal(10,0)") + lower).cast(_WIDE).cast("double") * unit)
-        .otherwise(_joined(parts))
-    )
+    one, two = f"get({parts}, 0)", f"get({parts}, 1)"
+    low, high = f"least({one}.band, {two}.band)", f"greatest({one}.band, {two}.band)"
+    upper = f"if({one}.band > {two}.band, {one}.part, {two}.part)"
+    lower = f"if({one}.band > {two}.band, {two}.part, {one}.part)"
+    plain = f"{low} BETWEEN 3 AND 58"  # far from the ends of doubles
+    unit = f"pow(2D, {low} * {_WIDTH} - {_OFFSET})"
+    both = _wide(f"CAST({upper} AS DECIMAL(28,0)) * CAST({_ONE} AS DECIMAL(10,0)) + {lower}")
+    return F.expr(f"""CASE WHEN size({parts}) = 0 THEN CAST(NULL AS DOUBLE)
+        WHEN size({parts}) = 1 AND {plain} THEN CAST({one}.part AS DOUBLE) * {unit}
+        WHEN size({parts}) = 2 AND {plain} AND {high} - {low} = 1 AND abs({upper}) < {_wide(10 ** 27)} THEN CAST({both} AS DOUBLE) * {unit}
+        ELSE {_joined(parts)} END""")

@@ -17,7 +17,7 @@ def sums(spark, groups, partitions=5, merges=True):
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "k int, v double").repartition(partitions).select("k", exact_part(F.col("v")).alias("p"))
     parts = df.filter("p is not null").groupBy("k", "p.band").agg(F.sum("p.part").alias("part"))
-    totals = parts.groupBy("k").agg(exact_total(F.collect_list(F.struct("band", "part"))).alias("s"))
+    totals = parts.groupBy("k").agg(F.collect_list(F.struct("band", "part")).alias("bands")).select("k", exact_total("bands").alias("s"))
     return {r.k: r.s for r in totals.collect()}
 
 

@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 
 from ..functions.domain import SERIES_WORDS_WIDE, content_type, guarded_ratio, normalize_region, performance_key
 from ..operators import cleaners
+from ..operators.incremental import FactStore, order_breaks, write_bucketed
 from ..operators.licensing import pick_license, prepare_licensing
 from ..operators.metrics import (
     conform, content_performance, licence_gate_counts, prepare_usage, usage_by_title_region_year,
 )
-from ..operators.models import content_performance_mart, stg_licensing, stg_movies, stg_user_behavior
+from ..operators.models import content_performance_mart, publish_views, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles, title_ids_from_first
 from ..operators.warehouse import (
     Warehouse, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
 )
-from ..session import scratch_path, scratch_root, stored
+from ..session import file_stamps, scratch_path, scratch_root, stored
 from ..sources import bindings as b
 from ..sources.events import land_play_events, read_play_events
 from ..sources.files import (
@@ -43,16 +44,18 @@ REGION_SPELLINGS_SAMPLE = (
 TYPE_SPELLINGS_SAMPLE = ("TV", " tv show ", "Miniseries", "series", None, "show")
 
 
-#: What was written once, by session, input folder and name.
-_BUILT: dict[tuple[str, str, str], Any] = {}
+#: What was written once, by session, input files and name.
+_BUILT: dict[tuple[Any, ...], Any] = {}
 
 
 class Flow:
     """Lazy stages of the whole pipeline for one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, fresh: bool = False):
+        """``fresh`` builds everything anew, also what this session has written before."""
         self.spark = spark
         self.t = b.Tables(spark, sf_dir)
+        self.fresh = fresh
 
     # -- cleaned datasets ------------------------------------------------------------
     @cached_property
@@ -101,8 +104,9 @@ class Flow:
         return self._once("staging", build)
 
     def _once(self, name: str, build: Callable[[], Any]) -> Any:
-        key = (self.spark.sparkContext.applicationId, self.t.sf_dir, name)
-        if key not in _BUILT:
+        """Built once a session for the same input files (names, sizes and times)."""
+        key = (self.spark.sparkContext.applicationId, self.t.sf_dir, file_stamps(self.spark, self.t.sf_dir), name)
+        if self.fresh or key not in _BUILT:
             _BUILT[key] = build()
         return _BUILT[key]
 
@@ -133,16 +137,21 @@ class Flow:
 
     @cached_property
     def reloaded(self) -> Warehouse:
-        """Two loads that overlap: the years up to 1995, then everything."""
+        """Two loads that overlap."""
         def build() -> Warehouse:
             wh = Warehouse(self.spark, scratch_path(self.spark, "warehouse-reloaded"))
-            for batch in (self.staging.filter(F.col("year") <= 1995), self.staging):
+            for batch in self.batches:
                 wh.create()
                 wh.load(batch)
             return wh
 
         return self._once("reloaded", build)
 
+    @cached_property
+    def batches(self) -> list[DataFrame]:
+        """Two batches that overlap: the years up to 1995, then everything."""
+        return [self.staging.filter(F.col("year") <= 1995), self.staging]
+
     def table(self, name: str) -> DataFrame:
         return self.warehouse.table(name)
 
@@ -310,6 +319,65 @@ def q_fact_second_batch(spark, sf_dir):
     return _flow(spark, sf_dir).reloaded.table("fact_content_performance")
 
 
+def q_fact_pruned_load(spark, sf_dir):
+    """The same two loads into a fact kept by date, each reading the stored keys it can touch."""
+    f = _flow(spark, sf_dir)
+    store = FactStore(spark, scratch_path(spark, "fact_store"))
+    for batch in f.batches:
+        store.load(batch)
+    return store.table()
+
+
+def _bucketed(f: Flow) -> dict[str, DataFrame]:
+    """Fact and dim_title as catalog tables in buckets by title."""
+    def build() -> dict[str, DataFrame]:
+        root = scratch_path(f.spark, "bucketed")
+        database = "roi_" + root.rsplit("-", 1)[1]
+        f.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+        return {
+            "fact": write_bucketed(f.table("fact_content_performance"), f"{database}.fact_content_performance", f"{root}/fact", 8,
+                                   sort_by=["title_id", *FACT_SORT]),
+            "dim_title": write_bucketed(f.table("dim_title"), f"{database}.dim_title", f"{root}/dim_title", 8),
+        }
+
+    return f._once("bucketed", build)
+
+
+FACT_SORT = ["date_id", "region_code"]
+
+
+def q_mart_bucketed(spark, sf_dir):
+    """The mart over bucketed tables: its largest join, by title, needs no exchange."""
+    f = _flow(spark, sf_dir)
+    tables = _bucketed(f)
+    return content_performance_mart(tables["fact"], tables["dim_title"], f.table("dim_region"), f.table("dim_date"))
+
+
+def q_table_layout(spark, sf_dir):
+    """Rows that stand behind a larger one in the files of each stored table: none, by the tables' sort keys."""
+    f = _flow(spark, sf_dir)
+    tables = _bucketed(f)
+    parts = [("fact_content_performance", f.table("fact_content_performance"), ["date_id", "region_code", "title_id"]),
+             ("dim_title", f.table("dim_title"), ["title_id"]), ("dim_region", f.table("dim_region"), ["region_code"]),
+             ("dim_date", f.table("dim_date"), ["date_id"]), ("fact_bucketed", tables["fact"], ["title_id", *FACT_SORT]),
+             ("dim_title_bucketed", tables["dim_title"], ["title_id"])]
+    out = None
+    for name, table, keys in parts:
+        one = order_breaks(table, keys).select(F.lit(name).alias("table_name"), "n_rows", "breaks")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_catalog_models(spark, sf_dir):
+    """Named sources and published views: the warehouse as catalog tables, the licensing model read by its view's name."""
+    wh = _flow(spark, sf_dir).warehouse
+    named = Warehouse(spark, wh.root, "roi_" + scratch_path(spark, "catalog").rsplit("-", 1)[1])
+    named.create()
+    publish_views(spark, named.database)
+    return spark.table(f"{named.database}.stg_licensing").join(
+        named.sources()["dim_title"].select("title_id", "title_name"), "title_id", "left")
+
+
 # -- models ----------------------------------------------------------------------------------
 def q_stg_movies(spark, sf_dir):
     return stg_movies(_flow(spark, sf_dir).table("dim_title"))
@@ -498,6 +566,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date_reload": q_dim_date_reload,
     "dim_region_reload": q_dim_region_reload,
     "fact_second_batch": q_fact_second_batch,
+    "fact_pruned_load": q_fact_pruned_load,
+    "mart_bucketed": q_mart_bucketed,
+    "table_layout": q_table_layout,
+    "catalog_models": q_catalog_models,
     "stg_movies": q_stg_movies,
     "stg_user_behavior": q_stg_user_behavior,
     "stg_licensing": q_stg_licensing,

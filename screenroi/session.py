@@ -80,6 +80,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found)
 
 
+def file_stamps(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, length, time of change) of every file below ``path``, in order."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hpath, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the scratch folder and read back: cuts the lineage, keeps
     column pruning and statistics, and survives lost executors."""

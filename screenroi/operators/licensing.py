@@ -117,3 +117,34 @@ def pick_license(usage: DataFrame, licensing: DataFrame, how: str = "inner") ->
         F.when(same_year, F.col("__prior.cost")).otherwise(F.col("__pick.cost")).alias("license_cost_usd_millions"),
         F.col("__pick.year").alias("license_year"),
     )
+
+
+def pick_license_spread(usage: DataFrame, licensing: DataFrame, how: str = "inner") -> DataFrame:
+    """:func:`pick_license` for titles of very many regions: no task holds the groups of a whole title.
+
+    Which year's licence is taken depends on title and usage year alone. So the windows of ``pick_license`` run over a
+    title's distinct years, at most a few thousand, with one licence a year (its smallest region, then cost).
+    Usage then meets its year's choice by (title, year), and the licence of its own region in the chosen year by
+    (title, region, year): joins whose keys spread a title over many tasks. Two shuffles of usage in place
+    of one."""
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    exact = licensing.groupBy("title_id", "license_year", "license_region").agg(F.min("license_cost_usd_millions").alias("__cost"))
+    region, cost = F.col("license_region"), F.col("__cost")
+    smallest = F.min(F.struct(region.isNull().alias("a"), region.alias("region"), cost.isNull().alias("b"), cost.alias("cost")))
+    yearly = exact.groupBy("title_id", "license_year").agg(smallest.alias("__l")).select(
+        "title_id", F.col("__l.region").alias("license_region"), F.col("__l.cost").alias("license_cost_usd_millions"), "license_year")
+    years = usage.select("title_id", F.lit(None).cast("string").alias("region"), "year").distinct()
+    chosen = pick_license(years, yearly).select(
+        F.col("title_id").alias("__t"), F.col("year").alias("__u"), F.col("license_region").alias("__r"),
+        F.col("license_cost_usd_millions").alias("__c"), F.col("license_year").alias("__y"))
+    own = exact.select(F.col("title_id").alias("__ot"), F.col("license_region").alias("__or"),
+                       F.col("license_year").alias("__oy"), F.col("__cost").alias("__oc"), F.lit(True).alias("__own"))
+    rows = usage.join(chosen, (F.col("title_id") == F.col("__t")) & F.col("year").eqNullSafe(F.col("__u")), how)
+    rows = rows.join(own, (F.col("__t") == F.col("__ot")) & F.col("region").eqNullSafe(F.col("__or"))
+                     & F.col("__y").eqNullSafe(F.col("__oy")), "left")
+    return rows.select(
+        *usage.columns,
+        F.when(F.col("__own"), F.col("region")).otherwise(F.col("__r")).alias("license_region"),
+        F.when(F.col("__own"), F.col("__oc")).otherwise(F.col("__c")).alias("license_cost_usd_millions"),
+        F.col("__y").alias("license_year"))

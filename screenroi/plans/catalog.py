@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.domain import SERIES_WORDS_WIDE, content_type, guarded_ratio, normalize_region, performance_key
 from ..operators import cleaners
 from ..operators.incremental import FactStore, order_breaks, write_bucketed
-from ..operators.licensing import pick_license, prepare_licensing
+from ..operators.licensing import pick_license, pick_license_spread, prepare_licensing
 from ..operators.metrics import (
-    conform, content_performance, licence_gate_counts, prepare_usage, usage_by_title_region_year,
+    conform, content_performance, licence_gate_counts, licensed_plays, prepare_usage, usage_by_title_region_year,
 )
 from ..operators.models import content_performance_mart, publish_views, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
@@ -239,6 +239,19 @@ def q_license_pick(spark, sf_dir):
     return _flow(spark, sf_dir).licensed
 
 
+def q_license_pick_spread(spark, sf_dir):
+    """The same pick with every title spread over its years and regions."""
+    f = _flow(spark, sf_dir)
+    return pick_license_spread(f.usage, prepare_licensing(f.licensing))
+
+
+def q_usage_licensed_only(spark, sf_dir):
+    """The pick over usage of titles that may be licensed: the others leave before the usage shuffles."""
+    f = _flow(spark, sf_dir)
+    licences = prepare_licensing(f.licensing)
+    return pick_license(usage_by_title_region_year(licensed_plays(prepare_usage(f.watch), licences)), licences)
+
+
 def q_content_performance_core(spark, sf_dir):
     lic = _flow(spark, sf_dir).licensed
     return lic.select(
@@ -552,6 +565,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "usage_by_title_region_year": q_usage_by_title_region_year,
     "usage_fractional_minutes": q_usage_fractional_minutes,
     "license_pick": q_license_pick,
+    "license_pick_spread": q_license_pick_spread,
+    "usage_licensed_only": q_usage_licensed_only,
     "content_performance_core": q_content_performance_core,
     "content_performance": q_content_performance,
     "output_conformance": q_output_conformance,

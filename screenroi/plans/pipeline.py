@@ -78,6 +78,7 @@ def run_content_performance(spark: SparkSession, paths: JobPaths, output: str |
         read_curated(spark, paths.curated("movies")),
         read_curated(spark, paths.curated("reviews")),
         how=how,
+        reduce_usage=True,  # licensing is a stored table here, so that reading it again is cheap
     )
     result = stored(result, "content-performance")
     counts = licence_gate_counts(result).first()

@@ -24,6 +24,7 @@ from ..operators.metrics import (
 from ..operators.models import content_performance_mart, publish_views, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles, title_ids_from_first
+from ..operators.viewers import ERROR, roll_up, viewer_sketches
 from ..operators.warehouse import (
     Warehouse, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
     new_fact_rows, seed_regions, title_rollup,
@@ -34,7 +35,9 @@ from ..sources.events import land_play_events, read_play_events
 from ..sources.files import (
     land_raw, read_curated, read_raw_csv, read_raw_zone, write_content_performance, write_csv, write_curated,
 )
-from ..streaming.usage import events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh
+from ..streaming.usage import (
+    events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh, start_windowed_usage, window_plays,
+)
 
 # Fixed test inputs for the scalar-mapping queries: spellings assigned to rows by key.
 REGION_SPELLINGS_SAMPLE = (
@@ -552,6 +555,42 @@ def q_stream_usage_refresh(spark, sf_dir):
     return read_latest(spark, out, ["title_id", "region", "year"])
 
 
+def q_viewers_rollup(spark, sf_dir):
+    """Viewers by title and month from landed daily sketches, held against the exact count."""
+    plays = window_plays(b.play_events_raw(b.Tables(spark, sf_dir)))
+    months = roll_up(stored(viewer_sketches(plays), "viewer-sketches"))
+    exact = plays.groupBy("title_id", F.trunc(F.to_date("timestamp"), "month").alias("month")).agg(F.count_distinct("user_id").alias("exact"))
+    return months.join(exact, ["title_id", "month"]).select(
+        "title_id", "month", "plays", F.col("exact").alias("viewers"),
+        (F.abs(F.col("viewers") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * ERROR)).alias("estimate_within_bound"))
+
+
+def _streamed_windows(spark, sf_dir, times: int, late: bool):
+    """Windows from events landed ``times`` times; with ``late`` the days come newest first, each in its own run."""
+    root = scratch_path(spark, "play_events")
+    events = b.play_events_raw(b.Tables(spark, sf_dir))
+    out, landing, ckpt = (scratch_path(spark, n) for n in ("windows", "windows_landing", "windows_ckpt"))
+    middle = events.agg(F.expr("percentile_approx(unix_timestamp(cast(timestamp as timestamp)), 0.5)")).first()[0]
+    newer = F.unix_timestamp(F.col("timestamp").cast("timestamp")) >= F.lit(middle)
+    batches = [events.filter(newer), events.filter(F.coalesce(~newer, F.lit(True)))] if late else [events] * times
+    for batch in batches:
+        land_play_events(batch, root)
+        start_windowed_usage(spark, root, landing, out, ckpt, watermark="1 day", redelivered=times > 1).awaitTermination()
+    return read_latest(spark, out, ["window_start", "window_end", "title_id", "region"])
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """The older half of the events arrives after the newer one: nothing is lost, and what was late is counted."""
+    found = _streamed_windows(spark, sf_dir, 1, True)
+    return found.select("window_start", "window_end", "title_id", "region", "watch_minutes", "plays")
+
+
+def q_stream_redelivered(spark, sf_dir):
+    """All events delivered twice count once."""
+    found = _streamed_windows(spark, sf_dir, 2, False)
+    return found.select("window_start", "window_end", "title_id", "region", "watch_minutes", "plays")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_licensing": q_clean_licensing,
     "clean_movies": q_clean_movies,
@@ -608,4 +647,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multiline_csv_roundtrip": q_multiline_csv_roundtrip,
     "stream_daily_usage": q_stream_daily_usage,
     "stream_usage_refresh": q_stream_usage_refresh,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_redelivered": q_stream_redelivered,
+    "viewers_rollup": q_viewers_rollup,
 }

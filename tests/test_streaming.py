@@ -4,7 +4,8 @@ from screenroi.operators.metrics import prepare_usage, usage_by_title_region_yea
 from screenroi.sources.events import land_play_events, read_play_events
 from screenroi.session import child_names
 from screenroi.streaming.usage import (
-    _landed, events_to_watch, read_latest, rows_dropped, start_daily_usage_stream, start_usage_refresh, stream_usage,
+    _FOLDERS, _USAGE_PARTS, Landing, compact_changelog, events_to_watch, read_latest, rows_dropped, start_daily_usage_stream,
+    start_usage_refresh, start_windowed_usage, stream_usage,
 )
 
 from conftest import rows
@@ -95,5 +96,65 @@ def test_refresh_compacts_and_stays_exact(spark, scratch):
     assert child_names(spark, f"{scratch}/landing/bases") == ["upto=2", "upto=5", "upto=8"]
     # each batch wrote only the groups it touched
     assert spark.read.parquet(f"{scratch}/out").count() == 20
-    plan = _landed(spark, f"{scratch}/landing", 9)
+    plan = Landing(spark, f"{scratch}/landing", _USAGE_PARTS, _FOLDERS, 3).read(9)
     assert len({f.rsplit("/event_year", 1)[0] for f in plan.inputFiles()}) == 2  # the base of 8 and batch 9
+
+
+KEYS = ["window_start", "window_end", "title_id", "region"]
+
+
+def test_windows_keep_late_events(spark, scratch):
+    """Days arrive newest first, one a run: the result is the batch result, and late plays are counted."""
+    src = f"{scratch}/src"
+    ev = _events(spark)
+    args = (spark, src, f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt")
+    for day in (4, 3, 1, 2):
+        land_play_events(ev.filter(F.col("timestamp").startswith(f"2024-03-0{day}")), src)
+        start_windowed_usage(*args, watermark="1 day", compact_every=3).awaitTermination()
+    got = read_latest(spark, f"{scratch}/out", KEYS)
+    batch = stream_usage(read_play_events(spark, src))
+    assert rows(got.drop("late_plays")) == rows(batch)
+    late = {r.window_start.day: r.late for r in got.groupBy("window_start").agg(F.sum("late_plays").alias("late")).collect()}
+    plays = {r.window_start.day: r.n for r in batch.groupBy("window_start").agg(F.sum("plays").alias("n")).collect()}
+    assert late[4] == 0 and late[1] == plays[1] and late[2] == plays[2]
+    # a base takes the place of the batches before it
+    assert compact_changelog(spark, f"{scratch}/out", KEYS) == 3
+    assert rows(read_latest(spark, f"{scratch}/out", KEYS)) == rows(got)
+    land_play_events(ev.limit(7), src)
+    start_windowed_usage(*args, compact_every=3).awaitTermination()
+    assert rows(read_latest(spark, f"{scratch}/out", KEYS).drop("late_plays")) == rows(stream_usage(read_play_events(spark, src)))
+
+
+def test_redelivered_events_change_nothing(spark, scratch):
+    src = f"{scratch}/src"
+    ev = _events(spark).unionByName(spark.createDataFrame(
+        [("u1", "t1", "play", 9, None, "US", None)], _events(spark).schema))
+    windows = (spark, src, f"{scratch}/w", f"{scratch}/w_out", f"{scratch}/w_ckpt")
+    usage = (spark, src, f"{scratch}/u", f"{scratch}/u_out", f"{scratch}/u_ckpt")
+    results = []
+    for part in (ev.limit(40), ev, ev):
+        land_play_events(part, src)
+        start_windowed_usage(*windows, redelivered=True, compact_every=2).awaitTermination()
+        start_usage_refresh(*usage, redelivered=True, compact_every=2).awaitTermination()
+        results.append((rows(read_latest(spark, f"{scratch}/w_out", KEYS).drop("late_plays")),
+                        rows(read_latest(spark, f"{scratch}/u_out", ["title_id", "region", "year"]))))
+    once = f"{scratch}/once"
+    land_play_events(ev, once)
+    events = read_play_events(spark, once)
+    assert results[1] == results[2]
+    dated = events.filter("timestamp IS NOT NULL")
+    assert results[2][0] == rows(stream_usage(dated))
+    assert results[2][1] == rows(usage_by_title_region_year(prepare_usage(events_to_watch(events))))
+
+
+def test_viewer_sketches_add_up(spark):
+    from screenroi.operators.viewers import ERROR, roll_up, viewer_sketches
+
+    plays = spark.range(60_000).selectExpr("concat('u', id % 9000) AS user_id", "concat('t', id % 2) AS title_id", "'US' AS region",
+                                           "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 59 as int)) AS timestamp")
+    months = {(r.title_id, str(r.month)): r for r in roll_up(viewer_sketches(plays)).collect()}
+    for r in plays.groupBy("title_id", F.trunc("timestamp", "month").alias("month")).agg(
+            F.count_distinct("user_id").alias("n"), F.count("*").alias("plays")).collect():
+        found = months.pop((r.title_id, str(r.month)))
+        assert found.plays == r.plays and abs(found.viewers - r.n) <= ERROR * r.n
+    assert not months

@@ -5,6 +5,9 @@ batch up in the digests first: rows that are surely new go straight on, the othe
 own dates alone (partitions pruned by the batch, at run time). A ``performance_id`` is made of title, region and year, so
 a key is always stored under the date of its year; for keys that are not, use ``warehouse.new_fact_rows``.
 
+Each load leaves its state of the quality rules beside the fact, so that the report after many loads reads the
+states and the dimensions, no facts.
+
 ``write_bucketed`` stores catalog tables in buckets by title, sorted inside, so that joins and aggregations by title
 need no exchange however often they are read.
 """
@@ -16,10 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import child_names, stored
+from ..session import child_names, path_exists, stored
 from ..sources.files import by_partition
 from .dedupe import keep_first
 from .digest import WORDS, key_digest, merge_digests, split_by_digest
+from .quality import MIN_FACT_ROWS, STATE_SCHEMA, check_states, fact_state
 from .warehouse import FACT_SCHEMA, fact_rows
 
 KEY, DATE = "performance_id", "date_id"
@@ -27,25 +31,31 @@ _LEAST_DATE = -(1 << 31)
 
 
 class FactStore:
-    """The fact under ``root``: ``fact/date_id=.../`` and ``digest/load=N/`` (date_id, slot, bits)."""
+    """The fact under ``root``: ``fact/load=N/date_id=.../``, ``digest/load=N/`` (date_id, slot, bits) and ``state/load=N/``
+    (quality rules). A load counts from the moment its facts are finished."""
 
     def __init__(self, spark: SparkSession, root: str, words: int = WORDS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.words = words
 
-    def _loads(self) -> list[int]:
-        return sorted(int(n.partition("=")[2]) for n in child_names(self.spark, f"{self.root}/digest") if n.startswith("load="))
+    def _loads(self, part: str) -> list[int]:
+        return sorted(int(n.partition("=")[2]) for n in child_names(self.spark, f"{self.root}/{part}") if n.startswith("load="))
+
+    def _finished(self) -> list[int]:
+        return [n for n in self._loads("fact") if path_exists(self.spark, f"{self.root}/fact/load={n}/_SUCCESS")]
 
     def table(self) -> DataFrame | None:
         """All stored facts; None before the first load."""
-        if not child_names(self.spark, f"{self.root}/fact"):
+        paths = [f"{self.root}/fact/load={n}" for n in self._finished()]
+        if not paths:
             return None
-        return self.spark.read.schema(FACT_SCHEMA).parquet(f"{self.root}/fact").select(*FACT_SCHEMA.fieldNames())
+        rows = self.spark.read.schema(FACT_SCHEMA).option("basePath", f"{self.root}/fact").parquet(*paths)
+        return rows.select(*FACT_SCHEMA.fieldNames())
 
     def digests(self) -> DataFrame | None:
         """Digests of the stored keys of each date, of all loads together; bounded by dates and words."""
-        loads = self._loads()
+        loads = self._loads("digest")
         if not loads:
             return None
         rows = self.spark.read.schema("date_id int, slot int, bits bigint").parquet(*[f"{self.root}/digest/load={n}" for n in loads])
@@ -71,12 +81,24 @@ class FactStore:
         """Appends the new facts and returns their number. The digest goes first: a load that breaks off in
         between leaves keys that may be stored, and its repetition looks them up."""
         rows = stored(self.new_rows(staging, dedupe), "fact-new")
-        number = max(self._loads(), default=-1) + 1
+        number = max(self._loads("digest"), default=-1) + 1
         key_digest(rows, KEY, [DATE], self.words).write.mode("overwrite").parquet(f"{self.root}/digest/load={number}")
-        by_partition(rows, [DATE]).sortWithinPartitions(DATE, "region_code", "title_id").write.mode("append").partitionBy(
-            DATE).parquet(f"{self.root}/fact")
+        fact_state(rows).write.mode("overwrite").parquet(f"{self.root}/state/load={number}")
+        by_partition(rows, [DATE]).sortWithinPartitions(DATE, "region_code", "title_id").write.mode("overwrite").partitionBy(
+            DATE).parquet(f"{self.root}/fact/load={number}")
         return rows.count()
 
+    def states(self) -> DataFrame:
+        """Quality states of the finished loads."""
+        paths = [f"{self.root}/state/load={n}" for n in self._finished()]
+        if not paths:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths)
+
+    def check(self, dim_title: DataFrame, dim_region: DataFrame, dim_date: DataFrame, min_rows: int = MIN_FACT_ROWS) -> DataFrame:
+        """``quality.check_all`` of the stored facts, from the states of the loads."""
+        return check_states(self.states(), dim_title, dim_region, dim_date, min_rows)
+
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "title_id",
                    sort_by: Sequence[str] = ("title_id",), mode: str = "overwrite") -> DataFrame:

@@ -99,6 +99,49 @@ def check_all(fact: DataFrame, dim_title: DataFrame | None = None, dim_region: D
     return out
 
 
+# ---- rules over loads -------------------------------------------------------------------------------
+#: What the rules need to know of some facts: (kind 'rule', name, null, violations), (kind 'key', dimension, key, rows).
+STATE_SCHEMA = "kind string, name string, value string, n long"
+
+
+def fact_state(batch: DataFrame) -> DataFrame:
+    """The rules' state of the facts of one load; states add up over loads (see :func:`check_states`)."""
+    faults = _row_faults()
+    found = _per_key(batch, "performance_id", faults)
+    pairs = [(n, n) for n in faults] + [("fact_rows", "__rows"), ("performance_id_unique", "__dups")]
+    rules = _rows(found, pairs).select(
+        F.lit("rule").alias("kind"), F.col("rule").alias("name"), F.lit(None).cast("string").alias("value"), F.col("violations").alias("n"))
+    names = F.inline(F.array(*[F.struct(F.lit(name).alias("name"), F.col(key).cast("string").alias("value"))
+                               for name, (key, _) in DIMENSIONS.items()]))
+    keys = batch.select(names).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return rules.unionByName(keys.select(F.lit("key").alias("kind"), "name", "value", "n"))
+
+
+def check_states(states: DataFrame, dim_title: DataFrame, dim_region: DataFrame, dim_date: DataFrame,
+                 min_rows: int = MIN_FACT_ROWS) -> DataFrame:
+    """The report of :func:`check_all` from the states of all loads and the dimensions, without the facts.
+
+    Loads that insert absent keys only cannot repeat one another's, so repeated ids add up over loads. Keys are
+    looked up in the dimensions as they are now."""
+    rules = states.filter("kind = 'rule'").groupBy("name").agg(F.sum("n").alias("n"))
+    short = F.greatest(F.lit(min_rows + 1) - F.col("n"), F.lit(0))
+    out = rules.select(
+        F.when(F.col("name") == "fact_rows", F.lit(f"fact_row_count_above_{min_rows}")).otherwise(F.col("name")).alias("rule"),
+        F.when(F.col("name") == "fact_rows", short).otherwise(F.col("n")).cast("long").alias("violations"))
+    dims = {"dim_title": dim_title, "dim_region": dim_region, "dim_date": dim_date}
+    keys = states.filter("kind = 'key'").groupBy("name", "value").agg(F.sum("n").alias("n"))
+    for name, dim in dims.items():
+        key = DIMENSIONS[name][0]
+        known = dim.select(F.col(key).cast("string").alias("value")).distinct()
+        lost = keys.filter(F.col("name") == name).join(known, "value", "left_anti")
+        out = out.unionByName(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
+            F.lit(f"fact_{name.removeprefix('dim_')}_in_{name}").alias("rule"), "violations"))
+    out = out.withColumn("passed", F.col("violations") == 0)
+    for name, dim in dims.items():
+        out = out.unionByName(dimension_checks(name, dim))
+    return out
+
+
 def cleaner_coverage(raw_files: list[str], registry: dict) -> list[str]:
     """DQ9: raw files without a registered cleaner (empty list = every dataset covered)."""
     return sorted(f for f in raw_files if f not in registry or registry[f][1] is None)

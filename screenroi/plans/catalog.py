@@ -24,6 +24,7 @@ from ..operators.metrics import (
 from ..operators.models import content_performance_mart, publish_views, stg_licensing, stg_movies, stg_user_behavior
 from ..operators.quality import check_all, duplicate_keys, referential_checks
 from ..operators.titles import distinct_title_ids, license_grid, normalize_titles, title_ids_from_first
+from ..operators.upsert import CuratedStore
 from ..operators.viewers import ERROR, roll_up, viewer_sketches
 from ..operators.warehouse import (
     Warehouse, load_staging, new_dim_date_rows, new_dim_region_rows, new_dim_title_rows,
@@ -466,6 +467,26 @@ def q_dq_violations(spark, sf_dir):
     )
 
 
+def q_dq_incremental(spark, sf_dir):
+    """The report after two loads, from the states that each left."""
+    f = _flow(spark, sf_dir)
+    store = FactStore(spark, scratch_path(spark, "fact_store"))
+    for batch in f.batches:
+        store.load(batch)
+    return store.check(f.table("dim_title"), f.table("dim_region"), f.table("dim_date"))
+
+
+def q_curated_upsert(spark, sf_dir):
+    """Watch history landed in three parts that overlap, each taken into the curated set by its keys."""
+    raw = b.watch_history_raw(b.Tables(spark, sf_dir))
+    store = CuratedStore(spark, scratch_path(spark, "curated_watch"), ["session_id"], buckets=16)
+    day = F.coalesce(F.dayofmonth("watch_date"), F.lit(0))
+    for low, high in ((0, 12), (10, 21), (20, 31)):
+        landing = cleaners.clean_watch_history(raw.filter(day.between(low, high)))
+        store.upsert(landing)
+    return store.table(landing).select(*landing.columns)
+
+
 def q_dq_duplicates(spark, sf_dir):
     raw = b.watch_history_raw(b.Tables(spark, sf_dir)).withColumnRenamed("Session ID", "session_id")
     return duplicate_keys(raw, "session_id")
@@ -638,6 +659,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_violations": q_dq_violations,
     "curated_movies_roundtrip": q_curated_movies_roundtrip,
     "normalized_titles_first": q_normalized_titles_first,
+    "dq_incremental": q_dq_incremental,
+    "curated_upsert": q_curated_upsert,
     "dq_duplicates": q_dq_duplicates,
     "dq_referential": q_dq_referential,
     "play_events_usage": q_play_events_usage,

@@ -59,7 +59,7 @@ def test_a_load_reads_its_own_dates_only(spark, scratch):
     store = FactStore(spark, f"{scratch}/store")
     store.load(staging(spark, [2000, 2001, 2002]))
     for year in (2000, 2002):  # whoever reads these folders fails
-        with open(f"{scratch}/store/fact/date_id={year}0101/part-broken.snappy.parquet", "wb") as out:
+        with open(f"{scratch}/store/fact/load=0/date_id={year}0101/part-broken.snappy.parquet", "wb") as out:
             out.write(b"not a table")
     batch = staging(spark, [2001, 2005], 8)
     new = store.new_rows(batch)

@@ -21,9 +21,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenroi.llm.common import WHITE, WHITE_CLASS, materialize, text_or_empty
+from screenroi.llm.common import materialize, text_or_empty
 
 MAX_REPEAT = 2.0
+BYTES_A_TOKEN = 4
 SEED = 17
 BLOCK_TOKENS = 100_000
 BUCKETS = 1 << 14
@@ -33,17 +34,21 @@ _KEY_BITS = 60
 
 
 def token_count() -> Column:
-    """Words of the text and one end mark."""
-    trimmed = F.btrim(text_or_empty(), F.lit(WHITE))
-    words = F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WHITE_CLASS + "+")))
-    return (words + 1).cast("long")
+    """About as many tokens as a subword tokenizer makes: a fourth of the text's UTF-8 bytes, rounded up, and one
+    end mark. Blanks do not matter, so texts without any (Chinese, minified code) count by their size too."""
+    return (F.ceil(F.octet_length(text_or_empty()) / F.lit(BYTES_A_TOKEN)) + 1).cast("long")
 
 
-def shuffle_key(epoch: Column, seed: int) -> Column:
-    """60 bits that place a document in the permutation of an epoch; rows with one doc_id go
-    together, rows without one by their text."""
-    own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(text_or_empty().cast("binary"))))
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), own).cast("binary")),
+def row_name() -> Column:
+    """What places a row in a permutation: its doc_id and text. Rows of one id have places of their own; rows
+    that repeat id and text share one."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
+                             F.md5(text_or_empty().cast("binary"))).cast("binary"))
+
+
+def shuffle_key(epoch: Column, seed: int, name: Column) -> Column:
+    """60 bits that place a row, by its :func:`row_name`, in the permutation of an epoch."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name).cast("binary")),
                               1, _KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -76,8 +81,7 @@ def mixing_plan(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
                 budget: int | None = None, seed: int = SEED) -> DataFrame:
     """One row a source: __source, tokens, weight, repeat, passes, cut (last key of the part pass,
     -1 if none). Without ``budget`` the least one is taken at which every document appears."""
-    sizes = materialize(docs.select(_source().alias("__source"), F.col("doc_id"), token_count().alias("n"),
-                                    F.when(F.col("doc_id").isNull(), F.col("text")).alias("text")), "mixing-sizes")
+    sizes = materialize(docs.select(_source().alias("__source"), row_name().alias("__row"), token_count().alias("n")), "mixing-sizes")
     tokens = materialize(sizes.groupBy("__source").agg(F.sum("n").alias("tokens")), "mixing-tokens")
     total, least, most = tokens.agg(F.sum("tokens"), F.min("tokens"), F.max("tokens")).first()
     if total is None:
@@ -91,12 +95,20 @@ def mixing_plan(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
         often = (p_max / p_min) ** (1 - t) if budget is None else p_min ** (t - 1) * budget / (z * total)
         return often > max_repeat
 
+    if target_entropy is not None:
+        most_entropy = math.log(tokens.count())
+        if not 0 <= target_entropy <= most_entropy + 1e-9:
+            raise ValueError(f"No weights of these sources have entropy {target_entropy}: it is between 0 and {most_entropy:.6f}")
+    elif budget is not None and budget / total > max_repeat:
+        raise ValueError(f"{budget} tokens repeat {total} more than {max_repeat} times, whatever the weights")
     if target_entropy is None:
         exponent = bisect(shares, 1.0, repeats_too_often)
     else:
         exponent = bisect(shares, 8.0, lambda t, z, s: math.log(z) - t * s / z > target_entropy)
     power = F.pow("share", F.lit(exponent))
-    z = shares.agg(F.sum(power)).first()[0]
+    z, slope = shares.agg(F.sum(power), F.sum(power * F.log("share"))).first()
+    if target_entropy is not None and abs(math.log(z) - exponent * slope / z - target_entropy) > 1e-4:
+        raise ValueError(f"No exponent from 0 to 8 gives entropy {target_entropy}; {exponent} gives {math.log(z) - exponent * slope / z:.6f}")
     flat = F.pow("share", F.lit(exponent - 1))
     repeat = flat / F.lit(p_max ** (exponent - 1)) if budget is None else flat * F.lit(budget / (z * total))
     if budget is None and exponent > 1:
@@ -109,7 +121,7 @@ def mixing_plan(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
         .withColumn("rest", F.col("budget") - F.col("passes") * F.col("tokens")), "mixing-sources")
 
     keyed = sizes.join(sources.select("__source", "passes", "rest"), "__source").withColumn(
-        "key", shuffle_key(F.col("passes"), seed))
+        "key", shuffle_key(F.col("passes"), seed, F.col("__row")))
     bucket = F.shiftright("key", _KEY_BITS - BUCKETS.bit_length() + 1).alias("bucket")
     sums = keyed.groupBy("__source", "rest", bucket).agg(F.sum("n").alias("n"))
     running = sums.withColumn("upto", F.sum("n").over(
@@ -120,7 +132,8 @@ def mixing_plan(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
         .select("__source", F.col("bucket").alias("end"), (F.col("rest") - F.col("upto") + F.col("n")).alias("left")),
         "mixing-ends")
     within = keyed.join(last, "__source").filter(bucket == F.col("end")).select("__source", "key", "n", "left")
-    # keys that several rows share come in together: the default frame includes ties
+    # rows that repeat id and text share a key and come in together: summed before the window, however many
+    within = within.groupBy("__source", "key", "left").agg(F.sum("n").alias("n"))
     inside = within.withColumn("upto", F.sum("n").over(Window.partitionBy("__source").orderBy("key")))
     exact = inside.filter("upto <= left").groupBy("__source").agg(F.max("key").alias("inside"))
     ends = last.join(exact, "__source", "left").select(
@@ -133,7 +146,7 @@ def mixing_plan(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
 def _copies(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """``docs`` with ``__epochs``: the passes a document takes part in, 0 on."""
     joined = docs.withColumn("__source", _source()).join(plan, "__source")
-    part = F.when(shuffle_key(F.col("passes"), seed) <= F.col("cut"), 1).otherwise(0)
+    part = F.when(shuffle_key(F.col("passes"), seed, F.col("__row")) <= F.col("cut"), 1).otherwise(0)
     return joined.withColumn("__epochs", F.filter(
         F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda e: e < F.col("passes") + part))
 
@@ -143,13 +156,14 @@ def mix_sources(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
     """``docs`` (reads doc_id, text, source) mixed: every row as often as its source's weight asks,
     same columns.
 
-    A null source is one source; rows sharing a doc_id share their place in a permutation; rows
-    without one go by their text. Empty and null texts have one token. An empty table stays empty.
+    A null source is one source. Rows have places by id and text; rows that repeat both come in together, so the
+    budget of a part pass is missed by at most one such set. Empty and null texts have one token, long ones a
+    fourth of their bytes. An empty table stays empty. Targets that no weights reach are a ``ValueError``.
     """
     plan = mixing_plan(docs, max_repeat, target_entropy, budget, seed)
     plan = plan.select("__source", F.col("passes").alias("__passes"), F.col("cut").alias("__cut"))
     joined = docs.withColumn("__source", _source()).join(plan, "__source")
-    part = F.when(shuffle_key(F.col("__passes"), seed) <= F.col("__cut"), 1).otherwise(0)
+    part = F.when(shuffle_key(F.col("__passes"), seed, row_name()) <= F.col("__cut"), 1).otherwise(0)
     copies = joined.withColumn("__copies", (F.col("__passes") + part).cast("int"))
     return copies.filter("__copies > 0").select(
         *[F.col(c) for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("__copies"))).alias("__copy")
@@ -159,15 +173,15 @@ def mix_sources(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy:
 def mixing_order(docs: DataFrame, max_repeat: float = MAX_REPEAT, target_entropy: float | None = None,
                  budget: int | None = None, seed: int = SEED, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row for every use of a document: doc_id, source, n_tokens, epoch, block, key. Reading by
-    (block, key) gives the mix; a source's epochs are spread evenly over the blocks."""
+    (block, key) gives the mix; a source's epochs are spread evenly over the blocks. Nulls, empty and long texts,
+    repeated rows, an empty table and targets out of reach: as in :func:`mix_sources`."""
     plan = mixing_plan(docs, max_repeat, target_entropy, budget, seed)
     whole = plan.agg(F.sum(F.round(F.col("repeat") * F.col("tokens")))).first()[0] or 0
     blocks = max(1, math.ceil(whole / block_tokens))
-    rows = docs.select("doc_id", "source", token_count().alias("n_tokens"),
-                       F.when(F.col("doc_id").isNull(), F.col("text")).alias("text"))
+    rows = docs.select("doc_id", "source", token_count().alias("n_tokens"), row_name().alias("__row"))
     used = _copies(rows, plan, seed).select(
-        "doc_id", "source", "n_tokens", "text", "repeat", F.explode("__epochs").alias("epoch")).withColumn(
-        "key", shuffle_key(F.col("epoch"), seed))
+        "doc_id", "source", "n_tokens", "__row", "repeat", F.explode("__epochs").alias("epoch")).withColumn(
+        "key", shuffle_key(F.col("epoch"), seed, F.col("__row")))
     place = (F.col("epoch") + F.col("key") / F.lit(float(1 << _KEY_BITS))) / F.col("repeat")
     return used.select("doc_id", "source", "n_tokens", "epoch",
                        F.least(F.floor(place * blocks), F.lit(blocks - 1)).cast("long").alias("block"), "key")

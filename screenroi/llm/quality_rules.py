@@ -243,6 +243,15 @@ def _judged(docs: DataFrame, keep: list[Column]) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    rejected = _judged(docs, row_keys()).filter("not kept").select("__id", "__key").distinct()
-    return without(docs, rejected)
+    """The rows of ``docs`` that the rules keep, with all their columns: those with ``kept`` in :func:`quality_rules`.
+
+    A verdict follows from text, lang and source, so that rows of one id and text in two sources are judged apart;
+    rows that agree in all of these share it. Nulls, empty texts and small groups as there; long texts are counted
+    whole; an empty table stays empty. Verdicts go to the rows by id, hash of the text and group: of rejected rows only
+    these move."""
+    rejected = _judged(docs, row_keys()).filter("not kept").select(
+        F.col("__id").alias("__r_id"), F.col("__key").alias("__r_key"), F.col("group").alias("__r_group")).distinct()
+    own = docs.withColumns({"__doc_" + name: column for name, column in zip(("id", "key"), row_keys(), strict=True)})
+    own = own.withColumn("__doc_group", F.to_json(F.struct(F.col("lang"), F.col("source"))))
+    return own.join(rejected, (F.col("__doc_id") == F.col("__r_id")) & (F.col("__doc_key") == F.col("__r_key"))
+                    & (F.col("__doc_group") == F.col("__r_group")), "left_anti").select(*docs.columns)

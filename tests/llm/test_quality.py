@@ -110,3 +110,17 @@ def test_keep_quality_columns(odd, empty):
     assert kept.columns == odd.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 2, 3]
     assert q.quality_rules(empty).count() == 0 and q.keep_quality(empty).count() == 0
+
+
+def test_keep_quality_judges_rows_where_they_stand(spark):
+    """One text under one id in two sources: kept where it is like the others, not where it is far from them."""
+    words = [f"w{k:02d}xy" for k in range(60)]
+    plain = [(k, " ".join(words[(k * 7 + j) % 60] for j in range(40 + k % 9)), "en", "a") for k in range(80)]
+    odd_words = [f"verylongwordnumber{k:02d}indeed" for k in range(60)]
+    other = [(1000 + k, " ".join(odd_words[(k * 7 + j) % 60] for j in range(40 + k % 9)), "en", "b") for k in range(80)]
+    both = [(5000, plain[3][1], "en", "a"), (5000, plain[3][1], "en", "b"), (5000, plain[3][1], "en", "b")]
+    docs = spark.createDataFrame(plain + other + both, "doc_id long, text string, lang string, source string")
+    judged = q._judged(docs, [q.F.col("doc_id")]).filter("kept").select("doc_id", "lang", "source")
+    want = sorted(map(tuple, judged.collect()))
+    got = sorted((r.doc_id, r.lang, r.source) for r in q.keep_quality(docs).collect())
+    assert got == want and (5000, "en", "a") in got and (5000, "en", "b") not in got

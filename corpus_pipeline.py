@@ -2,6 +2,11 @@
 
 ``STAGES`` are run in order over ``documents``. Every stage but the last returns the columns of
 documents; each result is written as Parquet and read by the next stage.
+
+In every stage null texts count as empty, null ids, languages and sources are values of their own, further columns pass
+through (but for the last), an empty table stays empty, and long texts are read whole. Rows that repeat id and text
+are kept or dropped together, except that verdicts of the first stage hold for a row's own language and source, and that
+one row of a group of near copies stays.
 """
 
 from __future__ import annotations

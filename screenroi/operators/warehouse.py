@@ -278,7 +278,7 @@ class Warehouse:
                 self.spark.createDataFrame([], schema).write.parquet(self.path(name))
         seed = new_seed_region_rows(self.spark, self.table("dim_region"))
         if not seed.isEmpty():
-            self._append(seed, "dim_region")
+            self._append(seed, "dim_region", ["region_code"])
         if self.database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
             for name in TABLE_SCHEMAS:

@@ -5,10 +5,12 @@ length, hashed to ``BUCKETS``. The machine has a weight and a short vector per t
 learns pairs (an insult together with a group's name, a stem in a short text) that additive
 weights miss:  z = w0 + sum w x + sum over pairs <v, v'> x x'.
 
-Learning takes a bounded sample of labelled rows (``TRAIN_ROWS``, by hash of doc_id). Spark counts
-every hashed term of the sample by label and keeps those that tell the labels apart; the sample
-reduced to these is at most ``TRAIN_ROWS`` short rows, on which the driver fits. Scoring is one pass
-over all texts without a shuffle.
+Learning takes a bounded sample of labelled rows (``TRAIN_ROWS`` distinct texts, by hash of
+doc_id). Spark counts every hashed term of the sample by label. The machine gets the terms that tell
+the labels apart alone, and the words that do so only together with another term: words that are
+neutral alone are screened by the likelihood ratio of each pair's table of counts against additive
+log odds. The sample reduced to these terms is at most ``TRAIN_ROWS`` short rows, on which the driver
+fits. Scoring is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,9 +31,15 @@ from screenroi.llm.common import materialize, ship_package, text_or_empty
 from screenroi.llm.tokens import slices
 
 TRAIN_ROWS = 24_000
-BUCKETS = 1 << 20
+BUCKETS = 1 << 21
 #: Terms kept for the machine: the most telling, with at least this likelihood-ratio statistic.
 TERMS, LEAST_G2 = 4096, 11.0
+#: Pairs are looked for among the words whose presence varies most and the first of the telling words. A word
+#: joins the machine if its interaction with another term has at least this statistic (some 3 million pairs are
+#: looked at; chance gives one above 28), the strongest first.
+SCREEN_WORDS, SCREEN_TELLING = 2048, 512
+PAIR_WORDS, LEAST_INTERACTION = 256, 40.0
+FITTING_STEPS = 20
 PREFIXES = range(3, 7)
 FACTORS = 8
 EPOCHS, RATE, DECAY = 150, 0.05, 1e-3
@@ -42,7 +50,8 @@ _CHUNK = 8 << 20
 # ---- terms -------------------------------------------------------------------------------------
 
 def _bucket(term: str) -> int:
-    return zlib.crc32(term.encode()) % BUCKETS
+    """Whole words have odd buckets, other terms even ones."""
+    return zlib.crc32(term.encode()) % (BUCKETS // 2) * 2 + term.startswith("w:")
 
 
 def word_buckets(word: str) -> list[int]:
@@ -161,12 +170,20 @@ def held_out():
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, toxic, text) of at most ``most`` labelled rows that are not held out, written once.
-    A document with several labels is toxic if one says so."""
+    A document with several labels is toxic if one says so; rows that repeat id and text are one row."""
     ids = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = materialize(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "toxicity-sample")
-    # at most `most` rows of two numbers
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(sample), "doc_id")
-    return materialize(rows, "toxicity-training")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    sample = materialize(ids.orderBy(*order).limit(most), "toxicity-sample")
+    # at most `most` rows of two numbers; repeats collapse before they shuffle
+    texts = materialize(
+        docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(sample), "doc_id")
+        .withColumn("key", F.xxhash64("text")).groupBy("doc_id", "key")
+        .agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")), "toxicity-texts")
+    if texts.count() <= most:
+        return texts.drop("key")
+    # ids with many different texts: the bound is on rows
+    chosen = materialize(texts.select("doc_id", "key").orderBy(*order, "key").limit(most), "toxicity-chosen")
+    return materialize(texts.join(F.broadcast(chosen), ["doc_id", "key"], "left_semi").drop("key"), "toxicity-training")
 
 
 def _term_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,32 +226,131 @@ def _reducer(number: dict[int, int]):
     return run
 
 
+def _information(n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Log likelihood of the labels of n rows, pos of them toxic, under their own share."""
+    def part(k):
+        return k * np.log(np.where(k > 0, k, 1.0) / np.where(n > 0, n, 1.0))
+
+    return part(pos) + part(n - pos)
+
+
+def three_way(table: np.ndarray) -> np.ndarray:
+    """Likelihood-ratio statistic of the interaction in tables (2, 2, 2, k) of term, term and label:
+    the counts against those that proportional fitting gives without it, that is against additive
+    log odds."""
+    fitted = np.full(table.shape, table.sum((0, 1, 2)) / 8)
+    for _ in range(FITTING_STEPS):
+        for axis in range(3):
+            margin = fitted.sum(axis, keepdims=True)
+            fitted *= table.sum(axis, keepdims=True) / np.where(margin > 0, margin, 1.0)
+    some = table > 0
+    return 2 * (table * np.log(np.where(some, table, 1.0) / np.where(some, np.maximum(fitted, 1e-12), 1.0))).sum((0, 1, 2))
+
+
+def interactions(labels: np.ndarray, row: np.ndarray, term: np.ndarray, size: int, rows: int = 2048) -> np.ndarray:
+    """For each of ``size`` terms the strongest interaction (:func:`three_way`) with another one, or
+    0 where none reaches ``LEAST_INTERACTION``. ``row`` is ascending. Counts of pairs are exact
+    (under 2**24); only pairs that tell the labels apart better than each of their terms are fitted."""
+    both, toxic = np.zeros((size, size), np.float32), np.zeros((size, size), np.float32)
+    for a in range(0, len(labels), rows):
+        lo, hi = np.searchsorted(row, (a, a + rows))
+        x = np.zeros((min(rows, len(labels) - a), size), np.float32)
+        x[row[lo:hi] - a, term[lo:hi]] = 1
+        both += x.T @ x
+        x_toxic = x[labels[a:a + rows] == 1]
+        toxic += x_toxic.T @ x_toxic
+    total, positive = float(len(labels)), float(labels.sum())
+    n, pos = np.diag(both).astype(float), np.diag(toxic).astype(float)
+    alone = _information(n, pos) + _information(total - n, positive - pos)
+    best = np.zeros(size)
+    for k in range(size - 1):
+        later = np.arange(k + 1, size)
+        cells = {(1, 1): (both[k, later].astype(float), toxic[k, later].astype(float))}
+        cells[1, 0] = n[k] - cells[1, 1][0], pos[k] - cells[1, 1][1]
+        cells[0, 1] = n[later] - cells[1, 1][0], pos[later] - cells[1, 1][1]
+        cells[0, 0] = total - n[k] - cells[0, 1][0], positive - pos[k] - cells[0, 1][1]
+        joint = sum(_information(*cell) for cell in cells.values())
+        some = np.flatnonzero(2 * (joint - np.maximum(alone[k], alone[later])) >= LEAST_INTERACTION)
+        if not len(some):
+            continue
+        table = np.empty((2, 2, 2, len(some)))
+        for (i, j), (m, p) in cells.items():
+            table[i, j, 1], table[i, j, 0] = p[some], m[some] - p[some]
+        found = three_way(table)
+        found[found < LEAST_INTERACTION] = 0
+        best[k] = max(best[k], found.max())
+        best[later[some]] = np.maximum(best[later[some]], found)
+    return best
+
+
+def _in_pairs(labels: np.ndarray, row: np.ndarray, term: np.ndarray, telling: np.ndarray, screened: np.ndarray) -> np.ndarray:
+    """The ``screened`` terms that a pair with one another or with a ``telling`` term makes telling."""
+    looked = np.concatenate([telling, screened])
+    place = np.full(int(max(looked.max(initial=0), term.max(initial=0))) + 1, -1)
+    place[looked] = np.arange(len(looked))
+    own = place[term] >= 0
+    best = interactions(labels, row[own], place[term[own]], len(looked))[len(telling):]
+    strongest = np.argsort(-np.round(best, 6), kind="stable")[:PAIR_WORDS]
+    return np.sort(screened[strongest[best[strongest] >= LEAST_INTERACTION]])
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> FactorizationMachine:
-    """Without labelled rows the machine has no terms and scores every text 0.25."""
+    """Without labelled rows, or without a term that tells them apart, the machine has no terms;
+    without labelled rows it scores every text 0.25."""
     ship_package(docs.sparkSession)
     rows = training_rows(docs, labels, most)
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     bias = math.log((pos + 0.5) / (n - pos + 1.5))
-    stats = rows.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(
-        _term_stats, "bucket long, n long, pos long")
-    telling = (stats.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-               .withColumn("g2", _g2(float(n), float(pos))).filter(F.col("g2") >= LEAST_G2)
-               .orderBy(F.desc(F.round("g2", 6)), "bucket").limit(TERMS))
-    machine = FactorizationMachine([r.bucket for r in telling.collect()] if 0 < pos < n else [], bias)
-    if not machine.number:
-        return machine
-    # the bounded sample, reduced to the telling terms
+    if not 0 < pos < n:
+        return FactorizationMachine([], bias)
+    stats = materialize(
+        rows.select("text", F.col("toxic").cast("long").alias("toxic"))
+        .mapInArrow(_term_stats, "bucket long, n long, pos long")
+        .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")), "toxicity-terms")
+    telling = [r.bucket for r in stats.withColumn("g2", _g2(float(n), float(pos))).filter(F.col("g2") >= LEAST_G2)
+               .orderBy(F.desc(F.round("g2", 6)), "bucket").limit(TERMS).collect()]
+    known = set(telling)
+    varying = stats.filter(F.col("bucket") % 2 == 1).withColumn("spread", F.col("n") * (n - F.col("n"))).filter("spread > 0")
+    screened = [r.bucket for r in varying.orderBy(F.desc("spread"), "bucket").limit(SCREEN_WORDS).collect()
+                if r.bucket not in known]
+    buckets = telling + screened
+    if not buckets:
+        return FactorizationMachine([], bias)
+    # the bounded sample, reduced to these terms
     sample = rows.select("doc_id", F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(
-        _reducer(machine.number), "doc_id long, toxic long, terms array<int>, counts array<int>").toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).combine_chunks()
-    terms = sample["terms"].combine_chunks()
-    sizes = np.asarray(pc.list_value_length(terms), dtype=np.int64)
-    machine.fit(np.asarray(sample["toxic"], dtype=float), np.repeat(np.arange(len(sizes)), sizes),
-                np.asarray(pc.list_flatten(terms), dtype=np.int64),
-                np.asarray(pc.list_flatten(sample["counts"].combine_chunks()), dtype=np.int64))
+        _reducer({b: k for k, b in enumerate(buckets)}),
+        "doc_id long, toxic long, terms array<int>, counts array<int>").toArrow()
+    # rows of one id differ in their texts: the machine sees them in the order of their terms
+    sizes = pc.list_value_length(sample["terms"])
+    sample = sample.append_column("size", sizes).append_column("sum", _list_sums(sample)).sort_by(
+        [(c, "ascending") for c in ("doc_id", "toxic", "size", "sum")]).combine_chunks()
+    sizes = np.asarray(sample["size"], dtype=np.int64)
+    term = np.asarray(pc.list_flatten(sample["terms"]), dtype=np.int32)
+    count = np.asarray(pc.list_flatten(sample["counts"]), dtype=np.int32)
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    toxic = np.asarray(sample["toxic"], dtype=float)
+    del sample
+    # whole words only: a beginning that several languages share interacts with every word of one of them
+    telling_words = np.array([k for k, b in enumerate(telling) if b % 2][:SCREEN_TELLING], np.int64)
+    pairs = _in_pairs(toxic, row, term, telling_words, np.arange(len(telling), len(buckets)))
+    number = np.full(len(buckets), -1)
+    number[:len(telling)] = np.arange(len(telling))
+    number[pairs] = len(telling) + np.arange(len(pairs))
+    machine = FactorizationMachine(telling + [buckets[k] for k in pairs], bias)
+    if machine.number:
+        own = number[term] >= 0
+        machine.fit(toxic, row[own].astype(np.int64), number[term[own]], count[own].astype(np.int64))
     return machine
 
 
+def _list_sums(sample: pa.Table) -> pa.Array:
+    """Per row a number made of its terms and counts, to put rows of one id in a fixed order."""
+    sizes = np.asarray(pc.list_value_length(sample["terms"]), dtype=np.int64)
+    term = np.asarray(pc.list_flatten(sample["terms"]), dtype=np.float64)
+    count = np.asarray(pc.list_flatten(sample["counts"]), dtype=np.float64)
+    return pa.array(np.bincount(np.repeat(np.arange(len(sizes)), sizes), (term + 1) * count, len(sizes)))
+
+
 def _scorer(machine: FactorizationMachine):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(machine.number.get)
@@ -251,7 +367,7 @@ def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     """One row per row of ``docs`` (reads doc_id, text): doc_id, held_out, score, predicted.
 
     A null text is an empty one; it has the score of a text without known terms. Repeated rows
-    score alike. An empty table gives no rows.
+    score alike. Very long texts are scored whole, a slice of a batch at a time. An empty table gives no rows.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("text"))
@@ -260,4 +376,6 @@ def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
+    """Scores of all rows of ``docs`` by a machine that learns from at most ``most`` distinct labelled
+    rows; nulls, empty and long texts, repeats and empty tables as in :func:`score` and :func:`train`."""
     return score(docs, train(docs, labels, most))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from screenroi.llm import toxicity as t
@@ -19,6 +20,72 @@ def test_learns_a_pair_that_weights_miss():
     assert ((z > 0) == (labels == 1)).mean() > 0.95
 
 
+def _exactly_one(seed, n, share, fill):
+    """(doc_id, text, toxic): toxic if exactly one of two words is in the text; both words and all others are
+    neutral alone."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        on = rng.random(2) < share
+        words = [f"word{i}" for i in rng.zipf(1.3, 30) % fill] + ["kettle"] * int(on[0]) + ["harbour"] * int(on[1])
+        rng.shuffle(words)
+        rows.append((k, " ".join(words), int(on[0] != on[1])))
+    return rows
+
+
+@pytest.mark.parametrize("fill", [400, 5000])
+def test_pair_of_neutral_words_through_train(spark, fill):
+    table = spark.createDataFrame(_exactly_one(3, 4000, 0.5, fill), "doc_id long, text string, toxic int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "toxic")
+    machine = t.train(docs, labels)
+    assert {t._bucket("w:kettle"), t._bucket("w:harbour")} <= machine.number.keys()
+    rows = t.score(docs, machine).join(labels, "doc_id").filter("held_out").collect()
+    assert len(rows) > 600 and np.mean([r.predicted == r.toxic for r in rows]) > 0.95
+
+
+def test_interactions_against_logistic_fits():
+    """Against likelihoods of logistic regressions with and without the product, by Newton's method."""
+    rng = np.random.default_rng(2)
+    x = (rng.random((800, 6)) < 0.4).astype(float)
+    y = ((x[:, 0] != x[:, 1]) ^ (rng.random(800) < 0.2)).astype(float)
+
+    def likelihood(columns):
+        z, beta = np.column_stack([np.ones(len(y)), *columns]), np.zeros(len(columns) + 1)
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-z @ beta))
+            beta += np.linalg.solve(z.T * (p * (1 - p)) @ z, z.T @ (y - p))
+        return (np.log(p) * y + np.log(1 - p) * (1 - y)).sum()
+
+    row, term = np.nonzero(x)
+    got = t.interactions(y, row, term, 6, rows=64)
+    pair = [x[:, 0], x[:, 1]]
+    want = 2 * (likelihood([*pair, pair[0] * pair[1]]) - likelihood(pair))
+    assert np.allclose(got[:2], want, rtol=1e-3) and want > t.LEAST_INTERACTION and (got[2:] == 0).all()
+
+
+def test_alternatives_are_no_interaction():
+    """Any of two words makes a text clean: additive log odds say so, whatever the pair's table tells."""
+    table = np.zeros((2, 2, 2, 1))
+    table[0, 0, :, 0] = 1400, 600
+    table[0, 1, 0], table[1, 0, 0], table[1, 1, 0] = 500, 500, 100
+    assert t.three_way(table)[0] < 1
+    table[:, :, :, 0] = [[[9000, 300], [300, 0]], [[300, 0], [0, 30]]]  # an insult just when both occur
+    assert t.three_way(table)[0] > t.LEAST_INTERACTION
+
+
+def test_bound_is_on_rows_with_a_hot_id(spark):
+    """One labelled id holds most rows: repeats are one row, and different texts count against the bound."""
+    labels = spark.range(1, 400).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    base = spark.range(1, 400).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    repeats = spark.range(5000).selectExpr("1L AS doc_id", "'text 1' AS text")
+    assert not labels.filter("doc_id = 1").select(t.held_out()).first()[0]
+    plain = t.training_rows(base, labels, most=1000)
+    assert sorted(map(tuple, t.training_rows(base.union(repeats), labels, most=1000).collect())) == sorted(map(tuple, plain.collect()))
+    different = spark.range(5000).selectExpr("1L AS doc_id", "concat('other ', id) AS text")
+    bounded = t.training_rows(base.union(different), labels, most=300)
+    assert bounded.count() == 300 and bounded.columns == plain.columns
+
+
 def test_margin_equals_sum_over_pairs():
     machine = t.FactorizationMachine(list(range(5)), 0.3)
     machine.w = np.arange(5) / 7

@@ -388,6 +388,11 @@ def _final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "n_bytes", "kept", "removed"])
 
 
+def spans_of_documents(spans: DataFrame) -> DataFrame:
+    """The distinct spans of each document, however many rows repeat it."""
+    return spans.groupBy("__id", "__key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, q: int = Q, filter_bits: int = FILTER_BITS,
                  bucket_regions: int = BUCKET_REGIONS) -> DataFrame:
     """One row per row of ``docs`` (reads doc_id, text): doc_id, n_bytes, kept (the bytes left, joined),
@@ -420,7 +425,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, q: int = Q, filter_bits:
         regions = regions.join(crowded, "bucket", "left_anti").select(*regions.columns)
     resolved = regions.repartition("deal").sortWithinPartitions("bucket").mapInArrow(_resolver(length), SPANS)
     spans = resolved if spans is None else resolved.unionByName(spans)
-    by_doc = spans.groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    # rows that repeat a document find the same spans: distinct ones, on the map side already
+    by_doc = spans_of_documents(spans)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_keys(), text_or_empty().alias("text"))
     return rows.join(by_doc, ["__id", "__key"], "left").select("doc_id", "text", "spans").mapInArrow(
         _final, "doc_id long, n_bytes long, kept binary, removed array<struct<start:long,stop:long>>")

@@ -104,6 +104,29 @@ def test_suffix_dedup_odd(odd):
     assert len(first.removed) == 0 and len(copies) == 2 and all(r.kept == b"" for r in copies)
 
 
+def test_suffix_spans_of_a_hot_document(spark, monkeypatch):
+    """A document repeated 2,000 times in 16 partitions collects the spans of one copy."""
+    from screenroi.llm import suffix_dedup as module
+
+    rng = random.Random(4)
+    text = "".join(rng.choices("abcdefgh ", k=3000))
+    seen = []
+    plain = module.spans_of_documents
+
+    def spy(spans):
+        out = plain(spans)
+        seen.append({r["__id"]: r.n for r in out.selectExpr("__id", "size(spans) AS n").collect()})
+        return out
+
+    monkeypatch.setattr(module, "spans_of_documents", spy)
+    first = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for copies in (1, 2000):
+        hot = spark.range(copies).selectExpr("2L AS doc_id").withColumn("text", F.lit("x" + text)).repartition(16)
+        got = suffix_dedup(first.union(hot)).collect()
+        assert len(got) == copies + 1 and {len(r.kept) for r in got if r.doc_id == 2} == {1}
+    assert seen[0][2] == seen[1][2]
+
+
 def test_refine_tells_strings_apart():
     data = np.frombuffer(("ab" * 90 + "abc" * 60 + "ab" * 70).encode(), np.uint8)
     ends = np.array([0, 180, 360, 500])

@@ -165,12 +165,14 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str | None = None,
 
     Returns the manifest (shard, n_docs, n_ids), one row per shard file, already written. A null
     text is an empty one: the end id alone. Null doc_ids come first; equal ones in order of their
-    texts' hash. An empty table writes no shard.
+    texts' hash; rows that repeat both in any order, and they divide over shards like others. Very long
+    texts are encoded whole. An empty table writes no shard.
     """
     ship_package(docs.sparkSession)
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-               .withColumn("__tie", F.xxhash64("text"))
-               .repartitionByRange("doc_id", "__tie").sortWithinPartitions("doc_id", "__tie").drop("__tie"))
+               .withColumns({"__tie": F.xxhash64("text"), "__copy": F.monotonically_increasing_id()})
+               .repartitionByRange("doc_id", "__tie", "__copy").sortWithinPartitions("doc_id", "__tie")
+               .drop("__tie", "__copy"))
     return materialize(
         ordered.mapInArrow(_writer(root, tokenizer or tokenizer_path(), end_id, block_ids),
                            "shard long, n_docs long, n_ids long"), "token-manifest")

@@ -100,6 +100,21 @@ def test_token_files(table, request):
     assert ids == sorted(ids, key=lambda i: (i is not None, i))
 
 
+def test_shards_divide_a_hot_row(spark, tmp_path):
+    """One row repeated through a third of the table is spread over shards; places still add up."""
+    docs = spark.range(9000).selectExpr("if(id % 3 = 0, 4000L, id) AS doc_id", "if(id % 3 = 0, 'hot', concat('t ', id)) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(docs.repartition(6, "text"), str(tmp_path))
+        sizes = [r.n_docs for r in manifest.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 9000 and max(sizes) < 2500
+    rows = sorted(read_token_files(manifest, str(tmp_path)).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted(r.doc_id for r in docs.collect())
+    assert all(a.start + a.n_tokens == b.start for a, b in itertools.pairwise(rows))
+
+
 def test_token_files_written_twice(documents, tmp_path):
     """A second writer of the same folder replaces whole files."""
     root = f"file://{tmp_path}/files"

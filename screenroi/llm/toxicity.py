@@ -36,9 +36,10 @@ BUCKETS = 1 << 21
 TERMS, LEAST_G2 = 4096, 11.0
 #: Pairs are looked for among the words whose presence varies most and the first of the telling words. A word
 #: joins the machine if its interaction with another term has at least this statistic (some 3 million pairs are
-#: looked at; chance gives one above 28), the strongest first.
+#: looked at; chance gives one above 28), the strongest first. Of words that interact best with the same term (say,
+#: all common words of the language in which it is an insult) a few stand for all.
 SCREEN_WORDS, SCREEN_TELLING = 2048, 512
-PAIR_WORDS, LEAST_INTERACTION = 256, 40.0
+PAIR_WORDS, PER_PARTNER, LEAST_INTERACTION = 256, 4, 40.0
 FITTING_STEPS = 20
 PREFIXES = range(3, 7)
 FACTORS = 8
@@ -247,9 +248,10 @@ def three_way(table: np.ndarray) -> np.ndarray:
     return 2 * (table * np.log(np.where(some, table, 1.0) / np.where(some, np.maximum(fitted, 1e-12), 1.0))).sum((0, 1, 2))
 
 
-def interactions(labels: np.ndarray, row: np.ndarray, term: np.ndarray, size: int, rows: int = 2048) -> np.ndarray:
-    """For each of ``size`` terms the strongest interaction (:func:`three_way`) with another one, or
-    0 where none reaches ``LEAST_INTERACTION``. ``row`` is ascending. Counts of pairs are exact
+def interactions(labels: np.ndarray, row: np.ndarray, term: np.ndarray, size: int,
+                 rows: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``size`` terms the strongest interaction (:func:`three_way`) with another one, and
+    that one; 0 where none reaches ``LEAST_INTERACTION``. ``row`` is ascending. Counts of pairs are exact
     (under 2**24); only pairs that tell the labels apart better than each of their terms are fitted."""
     both, toxic = np.zeros((size, size), np.float32), np.zeros((size, size), np.float32)
     for a in range(0, len(labels), rows):
@@ -262,7 +264,7 @@ def interactions(labels: np.ndarray, row: np.ndarray, term: np.ndarray, size: in
     total, positive = float(len(labels)), float(labels.sum())
     n, pos = np.diag(both).astype(float), np.diag(toxic).astype(float)
     alone = _information(n, pos) + _information(total - n, positive - pos)
-    best = np.zeros(size)
+    best, partner = np.zeros(size), np.zeros(size, np.int64)
     for k in range(size - 1):
         later = np.arange(k + 1, size)
         cells = {(1, 1): (both[k, later].astype(float), toxic[k, later].astype(float))}
@@ -278,9 +280,11 @@ def interactions(labels: np.ndarray, row: np.ndarray, term: np.ndarray, size: in
             table[i, j, 1], table[i, j, 0] = p[some], m[some] - p[some]
         found = three_way(table)
         found[found < LEAST_INTERACTION] = 0
-        best[k] = max(best[k], found.max())
-        best[later[some]] = np.maximum(best[later[some]], found)
-    return best
+        if found.max() > best[k]:
+            best[k], partner[k] = found.max(), later[some[found.argmax()]]
+        better = found > best[later[some]]
+        best[later[some[better]]], partner[later[some[better]]] = found[better], k
+    return best, partner
 
 
 def _in_pairs(labels: np.ndarray, row: np.ndarray, term: np.ndarray, telling: np.ndarray, screened: np.ndarray) -> np.ndarray:
@@ -289,9 +293,16 @@ def _in_pairs(labels: np.ndarray, row: np.ndarray, term: np.ndarray, telling: np
     place = np.full(int(max(looked.max(initial=0), term.max(initial=0))) + 1, -1)
     place[looked] = np.arange(len(looked))
     own = place[term] >= 0
-    best = interactions(labels, row[own], place[term[own]], len(looked))[len(telling):]
-    strongest = np.argsort(-np.round(best, 6), kind="stable")[:PAIR_WORDS]
-    return np.sort(screened[strongest[best[strongest] >= LEAST_INTERACTION]])
+    best, partner = (found[len(telling):] for found in interactions(labels, row[own], place[term[own]], len(looked)))
+    taken: dict[int, int] = {}
+    out = []
+    for k in np.argsort(-np.round(best, 6), kind="stable"):
+        if best[k] < LEAST_INTERACTION or len(out) == PAIR_WORDS:
+            break
+        taken[partner[k]] = taken.get(partner[k], 0) + 1
+        if taken[partner[k]] <= PER_PARTNER:
+            out.append(screened[k])
+    return np.array(sorted(out), np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> FactorizationMachine:

@@ -57,7 +57,8 @@ def test_interactions_against_logistic_fits():
         return (np.log(p) * y + np.log(1 - p) * (1 - y)).sum()
 
     row, term = np.nonzero(x)
-    got = t.interactions(y, row, term, 6, rows=64)
+    got, partner = t.interactions(y, row, term, 6, rows=64)
+    assert partner[:2].tolist() == [1, 0]
     pair = [x[:, 0], x[:, 1]]
     want = 2 * (likelihood([*pair, pair[0] * pair[1]]) - likelihood(pair))
     assert np.allclose(got[:2], want, rtol=1e-3) and want > t.LEAST_INTERACTION and (got[2:] == 0).all()

@@ -2,14 +2,16 @@
 
 Four transformed statistics of a document (log mean word length, log symbols per word, log of
 repeated lines and of repeated words, each plus one) form its vector. Per group of (lang, source) the minimum
-covariance determinant estimate of centre and scatter is found by concentration steps: from
-coordinate medians and quartile spreads, take the h = 75 % of rows nearest by Mahalanobis
-distance, compute their mean and covariance, and repeat. A document further from its group's
-centre than the chi-square cutoff is rejected.
+covariance determinant estimate of centre and scatter is searched by concentration steps: take the h = 55 %
+of rows nearest by Mahalanobis distance, compute their mean and covariance, and repeat. Four fixed
+starts (shortest halves, medians, lower and upper quartiles of the coordinates) take two steps each; of every
+group the two of least determinant go on until it no longer falls, and the lesser of them is the estimate, so
+that up to 45 % of a group may be far off. Rows inside its 97.5 % ellipsoid give the final mean and
+covariance (reweighting). A document further from its group's centre than the chi-square cutoff is rejected.
 
 How it scales: the vectors are integers (thousandths), so sums are exact and the result does not
 depend on how rows are dealt. One concentration step is one aggregation: rows are summed per
-(group, distance bin) on the map side, at most ``DISTANCE_BINS`` rows a group whatever its
+(group, start, distance bin) on the map side, at most ``DISTANCE_BINS`` rows a group and start whatever its
 size, and a running sum over the bins gives the moments of the nearest h rows. A group that holds
 a third of all rows is no more than its bins after the first combine. All of it is DataFrame code.
 """
@@ -32,10 +34,17 @@ MAX_REPEAT_PERCENT = 30
 #: group has no scatter beyond these, from 8 repeated lines or 127 repeated words on.
 STATS = ("s_word_len", "s_symbols", "s_dup_lines", "s_repeat")
 SPREAD_FLOOR = (100.0, 60.0, 450.0, 1000.0)
-#: Share of a group in the h-subset, and the probability behind the cutoff.
-SUBSET = 0.75
+#: Share of a group in the h-subset, and the probabilities behind the reweighting and the cutoff.
+SUBSET = 0.55
+WEIGHT_P = 0.975
 CUTOFF_P = 0.9999
-STEPS = 6
+#: Concentration steps of every start, starts of a pool that go on, and the most steps these take. They
+#: end before when no determinant changes; of bins of distances instead of single rows, it may also swing.
+FIRST_STEPS = 2
+KEPT_STARTS = 2
+STEPS = 20
+#: Quantiles of a coordinate that the starts look at: 0, 1/20 .. 1.
+GRID = 20
 #: Smaller groups are pooled by language, then all together; a smaller pool rejects nothing.
 MIN_GROUP = 50
 DISTANCE_BINS = 2048
@@ -133,24 +142,39 @@ def _chi2_quantile(p: float, dof: int) -> float:
 
 P = len(STATS)
 CUTOFF = _chi2_quantile(CUTOFF_P, P)
-#: Makes the covariance of the nearest 75 % estimate that of all, under normality.
-CONSISTENCY = SUBSET / _chi2_cdf(_chi2_quantile(SUBSET, P), P + 2)
+
+
+def _consistency(share: float) -> float:
+    """Makes the covariance of the nearest ``share`` of rows estimate that of all, under normality."""
+    return share / _chi2_cdf(_chi2_quantile(share, P), P + 2)
+
+
+CONSISTENCY = _consistency(SUBSET)
+WEIGHT_CUT = _chi2_quantile(WEIGHT_P, P)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
 def _factored(moments: DataFrame) -> DataFrame:
-    """pool, centre m_i and the Cholesky factor l_i_j of the scatter v_i_j plus the floor."""
+    """pool, start (if any), centre m_i, the Cholesky factor l_i_j of the scatter v_i_j plus the floor, and
+    the log of its determinant."""
     out = moments
     for i, j in PAIRS:
         value = F.col(f"v_{i}_{j}") + (SPREAD_FLOOR[i] ** 2 if i == j else 0.0)
         for k in range(j):
             value = value - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
         out = out.withColumn(f"l_{i}_{j}", F.sqrt(value) if i == j else value / F.col(f"l_{j}_{j}"))
-    return out.select("pool", *[f"m_{i}" for i in range(P)], *[f"l_{i}_{j}" for i, j in PAIRS])
+    log_det = reduce(lambda a, b: a + b, [2 * F.log(f"l_{i}_{i}") for i in range(P)])
+    return out.select(*_keys(moments), *[f"m_{i}" for i in range(P)], *[f"l_{i}_{j}" for i, j in PAIRS],
+                      log_det.alias("log_det"))
+
+
+def _keys(estimates: DataFrame) -> list[str]:
+    return [c for c in ("pool", "start") if c in estimates.columns]
 
 
 def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``rows`` with the squared Mahalanobis distance ``d2``; null where the pool has no estimate."""
+    """``rows`` with the squared Mahalanobis distance ``d2``, once a start of the pool where ``estimates``
+    have starts; null where the pool has no estimate."""
     out = rows.join(estimates, "pool", "left")
     for i in range(P):
         y = F.col(STATS[i]) - F.col(f"m_{i}")
@@ -158,40 +182,89 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
             y = y - F.col(f"l_{i}_{k}") * F.col(f"y_{k}")
         out = out.withColumn(f"y_{i}", y / F.col(f"l_{i}_{i}"))
     d2 = reduce(lambda a, b: a + b, [F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(P)])
-    return out.withColumn("d2", d2).select(*rows.columns, "d2")
+    return out.withColumn("d2", d2).select(*rows.columns, *[c for c in _keys(estimates) if c != "pool"], "d2")
 
 
 def _start(vectors: DataFrame) -> DataFrame:
-    """Medians and quartile spreads. Values are thousandths, so the exact percentile keeps a
-    count for each of a few thousand values and combines on the map side."""
-    quartiles = vectors.groupBy("pool").agg(*[
-        F.percentile(F.col(s), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias(f"q_{i}")
-        for i, s in enumerate(STATS)])
-    spread = lambda i: (F.get(f"q_{i}", F.lit(2)) - F.get(f"q_{i}", F.lit(0))) / 1.349
-    return quartiles.select(
-        "pool", *[F.get(f"q_{i}", F.lit(1)).alias(f"m_{i}") for i in range(P)],
-        *[(spread(i) * spread(i) if i == j else F.lit(0.0)).alias(f"v_{i}_{j}") for i, j in PAIRS])
+    """Four centres and spreads a pool, from quantiles of the coordinates: shortest half (middle and
+    length), median and quartile range, lower and upper quartile with the length of the shortest half. Values are
+    thousandths, so the exact percentile keeps a count for each of a few thousand values and
+    combines on the map side."""
+    grid = F.array(*[F.lit(k / GRID) for k in range(GRID + 1)])
+    marks = vectors.groupBy("pool").agg(*[
+        F.percentile(F.col(s), grid, F.col("n")).alias(f"q_{i}") for i, s in enumerate(STATS)])
+    at = lambda i, k: F.get(f"q_{i}", F.lit(k))
+    half = GRID // 2
+    halves = marks.withColumns({f"half_{i}": F.array_min(F.array(*[
+        F.struct((at(i, k + half) - at(i, k)).alias("width"), ((at(i, k) + at(i, k + half)) / 2).alias("middle"))
+        for k in range(GRID - half + 1)])) for i in range(P)})
+    width = lambda i: F.col(f"half_{i}.width")
+    centres_and_spreads = (
+        (lambda i: F.col(f"half_{i}.middle"), width),
+        (lambda i: at(i, half), lambda i: at(i, 3 * GRID // 4) - at(i, GRID // 4)),
+        (lambda i: at(i, GRID // 4), width),
+        (lambda i: at(i, 3 * GRID // 4), width))
+    starts = halves.select("pool", F.posexplode(F.array(*[
+        F.struct(*[centre(i).alias(f"m_{i}") for i in range(P)], *[(spread(i) / 1.349).alias(f"s_{i}") for i in range(P)])
+        for centre, spread in centres_and_spreads])).alias("start", "at"))
+    return starts.select(
+        "pool", "start", *[F.col(f"at.m_{i}").alias(f"m_{i}") for i in range(P)],
+        *[(F.col(f"at.s_{i}") * F.col(f"at.s_{i}") if i == j else F.lit(0.0)).alias(f"v_{i}_{j}") for i, j in PAIRS])
+
+
+def _sums() -> list[Column]:
+    """Rows, sums and sums of products of vectors that stand for ``n`` rows each."""
+    n = F.col("n")
+    return [F.sum("n").alias("n"), *[F.sum(F.col(s) * n).alias(f"s_{i}") for i, s in enumerate(STATS)],
+            *[F.sum(F.col(STATS[i]) * F.col(STATS[j]) * n).alias(f"p_{i}_{j}") for i, j in PAIRS]]
+
+
+def _moments(sums: DataFrame, consistency: float) -> DataFrame:
+    n = F.col("n")
+    mean = [F.col(f"s_{i}") / n for i in range(P)]
+    return sums.select(
+        *_keys(sums), *[mean[i].alias(f"m_{i}") for i in range(P)],
+        *[((F.col(f"p_{i}_{j}") / n - mean[i] * mean[j]) * consistency).alias(f"v_{i}_{j}") for i, j in PAIRS])
 
 
 def _concentrate(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One step: mean and covariance of the nearest h rows of every pool."""
+    """One step: mean and covariance of the nearest h rows of every pool, for each of its starts."""
     d2 = _with_distance(vectors, estimates)
     bins = d2.withColumn("bin", F.least(F.floor(F.log1p("d2") * 64), F.lit(DISTANCE_BINS - 1)).cast("int"))
-    n = F.col("n")
-    sums = bins.groupBy("pool", "bin").agg(
-        F.sum("n").alias("n"), *[F.sum(F.col(s) * n).alias(f"s_{i}") for i, s in enumerate(STATS)],
-        *[F.sum(F.col(STATS[i]) * F.col(STATS[j]) * n).alias(f"p_{i}_{j}") for i, j in PAIRS])
-    nearest = Window.partitionBy("pool").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    names = ["n", *[f"s_{i}" for i in range(P)], *[f"p_{i}_{j}" for i, j in PAIRS]]
+    sums = bins.groupBy("pool", "start", "bin").agg(*_sums())
+    whole = Window.partitionBy("pool", "start")
+    nearest = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    names = [c for c in sums.columns if c not in ("pool", "start", "bin")]
     running = sums.select(
-        "pool", F.col("n").alias("own"), F.sum("n").over(Window.partitionBy("pool")).alias("all"),
+        "pool", "start", F.col("n").alias("own"), F.sum("n").over(whole).alias("all"),
         *[F.sum(c).over(nearest).alias(c) for c in names])
     h = F.ceil(F.col("all") * SUBSET)
-    cut = running.filter((n >= h) & (n - F.col("own") < h))
-    mean = [F.col(f"s_{i}") / n for i in range(P)]
-    return cut.select(
-        "pool", *[mean[i].alias(f"m_{i}") for i in range(P)],
-        *[((F.col(f"p_{i}_{j}") / n - mean[i] * mean[j]) * CONSISTENCY).alias(f"v_{i}_{j}") for i, j in PAIRS])
+    return _moments(running.filter((F.col("n") >= h) & (F.col("n") - F.col("own") < h)), CONSISTENCY)
+
+
+def _least(estimates: DataFrame, count: int) -> DataFrame:
+    """The ``count`` starts of each pool with the least determinant."""
+    order = Window.partitionBy("pool").orderBy("log_det", "start")
+    return estimates.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= count).drop("place")
+
+
+def minimum_determinant(vectors: DataFrame) -> DataFrame:
+    """The estimate of each pool: the least determinant that concentration from the starts finds, reweighted.
+
+    ``vectors`` holds pool, the statistics and n, the number of rows that a vector stands for; it is read once a
+    step. The driver only learns whether a determinant has changed."""
+    tried = materialize(_factored(_start(vectors)), "quality-start")
+    for _ in range(FIRST_STEPS):
+        tried = materialize(_factored(_concentrate(vectors, tried)), "quality-step")
+    tried = materialize(_least(tried, KEPT_STARTS), "quality-kept")
+    for _ in range(STEPS):
+        before = tried.select("pool", "start", F.col("log_det").alias("before"))
+        tried = materialize(_factored(_concentrate(vectors, tried)), "quality-step")
+        if tried.join(before, ["pool", "start"]).filter(F.abs(F.col("log_det") - F.col("before")) > 1e-9).isEmpty():
+            break
+    raw = _least(tried, 1).drop("start")
+    inside = _with_distance(vectors, raw).filter(F.col("d2") <= WEIGHT_CUT).groupBy("pool").agg(*_sums())
+    return materialize(_factored(_moments(inside, _consistency(WEIGHT_P))), "quality-estimates")
 
 
 def _pools(groups: DataFrame) -> DataFrame:
@@ -200,10 +273,14 @@ def _pools(groups: DataFrame) -> DataFrame:
     small = F.col("n") < MIN_GROUP
     named = groups.withColumn("pool", F.when(~small, F.to_json(F.struct("lang", "source")))
                               .otherwise(F.to_json(F.struct("lang"))))
-    sized = named.withColumn("pool_n", F.sum("n").over(Window.partitionBy("pool")))
-    last = sized.withColumn("pool", F.when(F.col("pool_n") >= MIN_GROUP, F.col("pool")).otherwise(F.lit("*")))
-    total = F.sum("n").over(Window.partitionBy("pool"))
-    return last.withColumn("pool_n", total).filter(F.col("pool_n") >= MIN_GROUP).select("group", "pool")
+    last = _sized(named).withColumn(
+        "pool", F.when(F.col("pool_n") >= MIN_GROUP, F.col("pool")).otherwise(F.lit("*"))).drop("pool_n")
+    return _sized(last).filter(F.col("pool_n") >= MIN_GROUP).select("group", "pool")
+
+
+def _sized(groups: DataFrame) -> DataFrame:
+    """``groups`` with the rows of their pool; sums are joined, as a window would bring a pool's groups to one task."""
+    return groups.join(groups.groupBy("pool").agg(F.sum("n").alias("pool_n")), "pool")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -234,9 +311,7 @@ def _judged(docs: DataFrame, keep: list[Column]) -> DataFrame:
     vectors = materialize(
         passed.groupBy("group", *STATS).agg(F.count("*").alias("n"))
         .join(pools, "group").drop("group"), "quality-vectors")
-    estimates = materialize(_factored(_start(vectors)), "quality-start")
-    for _ in range(STEPS):
-        estimates = materialize(_factored(_concentrate(vectors, estimates)), "quality-step")
+    estimates = minimum_determinant(vectors)
     judged = _with_distance(stats.join(pools, "group", "left"), estimates)
     inside = F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)

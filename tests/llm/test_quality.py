@@ -61,9 +61,7 @@ def test_estimate_resists_outliers(spark):
     clean = rng.multivariate_normal([1000, 500, 900, 700], np.diag([300, 250, 400, 350]) ** 2, 800)
     far = rng.normal(9000, 100, (200, 4))
     vectors = _vectors(spark, np.concatenate([clean, far])).cache()
-    estimate = q._factored(q._start(vectors))
-    for _ in range(4):
-        estimate = q.materialize(q._factored(q._concentrate(vectors, estimate)), "test-step")
+    estimate = q.minimum_determinant(vectors)
     r = estimate.first()
     centre = [r[f"m_{i}"] for i in range(4)]
     assert np.abs(np.array(centre) - clean.mean(axis=0)).max() < 120
@@ -76,6 +74,92 @@ def test_estimate_resists_outliers(spark):
     assert min(d2) > q.CUTOFF
 
 
+def test_large_shares_of_junk(spark):
+    """Up to 45 % of a pool may be far off: all of it is outside the cutoff, and nearly all the rest inside."""
+    rng = np.random.default_rng(7)
+    far_off = {"one side": [3500, 2500, 5200, 6900], "both sides": [3500, 2500, 5200, 6900], "near": [2600, 1500, 2600, 4500]}
+    clean, vectors = {}, None
+    for place, centre in far_off.items():
+        for share in (0.3, 0.4):
+            far = int(500 * share)
+            good = rng.multivariate_normal([1500, 300, 400, 600], np.diag([150, 100, 400, 500]) ** 2, 500 - far)
+            junk = rng.normal(centre, 60, (far, 4))
+            if place == "both sides":
+                junk[: far // 2, :2] = rng.normal([100, 2500], 60, (far // 2, 2))
+            pool = f"{place} {share}"
+            clean[pool] = {tuple(map(int, p)) for p in good}
+            own = _vectors(spark, np.concatenate([good, junk]), pool)
+            vectors = own if vectors is None else vectors.unionByName(own)
+    vectors = q.materialize(vectors, "test-vectors")
+    wrong = dict.fromkeys(clean, 0)
+    for r in q._with_distance(vectors, q.minimum_determinant(vectors)).collect():
+        if tuple(r[s] for s in q.STATS) in clean[r.pool]:
+            wrong[r.pool] += r.d2 > q.CUTOFF
+        else:
+            assert r.d2 > q.CUTOFF, r
+    assert len(wrong) == 6 and max(wrong.values()) < 4
+
+
+def _fast_mcd(points, tries=200):
+    """Random starts of six rows, steps on single rows to the end, least determinant, reweighted: in numpy."""
+    rng = np.random.default_rng(2)
+    floor = np.diag(np.square(q.SPREAD_FLOOR))
+    h = math.ceil(len(points) * q.SUBSET)
+
+    def distance(centre, scatter):
+        y = points - centre
+        return np.einsum("ij,ij->i", y @ np.linalg.inv(scatter), y)
+
+    best = None
+    for _ in range(tries):
+        own = points[rng.choice(len(points), 6, replace=False)]
+        own = points[np.argsort(distance(own.mean(axis=0), np.cov(own.T, bias=True) + floor), kind="stable")[:h]]
+        last = math.inf
+        while True:
+            scatter = np.cov(own.T, bias=True) * q.CONSISTENCY + floor
+            det = np.linalg.slogdet(scatter)[1]
+            if det >= last - 1e-12:
+                break
+            last, centre, kept = det, own.mean(axis=0), scatter
+            own = points[np.argsort(distance(centre, scatter), kind="stable")[:h]]
+        if best is None or last < best[0]:
+            best = last, centre, kept
+    inside = points[distance(best[1], best[2]) <= q.WEIGHT_CUT]
+    return best[0], inside.mean(axis=0), np.cov(inside.T, bias=True) * q._consistency(q.WEIGHT_P) + floor
+
+
+def test_estimate_against_numpy(spark):
+    """Two pools with junk in different places: centre, scatter and verdicts as from a search over 200 random starts."""
+    rng = np.random.default_rng(3)
+    mixed = np.array([[160, 0, 0, 0], [60, 110, 0, 0], [0, 90, 350, 0], [50, 0, 200, 450]])
+    first = np.concatenate([[1500, 400, 900, 1500] + rng.standard_normal((400, 4)) @ mixed.T, rng.normal(5000, 80, (200, 4))])
+    second = np.concatenate([[1400, 300, 0, 0] + np.abs(rng.standard_normal((500, 4)) @ mixed.T), rng.normal([900, 3000, 0, 0], 50, (60, 4))])
+    pools = {"a": np.round(first), "b": np.round(second)}
+    vectors = _vectors(spark, pools["a"], "a").unionByName(_vectors(spark, pools["b"], "b")).cache()
+    estimates = q.minimum_determinant(vectors)
+    judged = {}
+    for r in q._with_distance(vectors, estimates).collect():
+        judged.setdefault(r.pool, []).append(r.d2)
+    for r in estimates.collect():
+        _, centre, scatter = _fast_mcd(pools[r.pool])
+        lower = np.zeros((4, 4))
+        for i, j in q.PAIRS:
+            lower[i, j] = r[f"l_{i}_{j}"]
+        assert np.abs(np.array([r[f"m_{i}"] for i in range(4)]) - centre).max() < 40
+        assert np.allclose(np.sqrt(np.diag(lower @ lower.T)), np.sqrt(np.diag(scatter)), rtol=0.05)
+        assert math.isclose(r.log_det, np.linalg.slogdet(lower @ lower.T)[1], rel_tol=1e-9)
+        y = pools[r.pool] - centre
+        want = np.einsum("ij,ij->i", y @ np.linalg.inv(scatter), y) > q.CUTOFF
+        assert np.mean((np.array(judged[r.pool]) > q.CUTOFF) != want) < 0.01
+
+
+def test_least_determinant_is_kept(spark):
+    rows = [("p", 0, 5.0), ("p", 1, 3.0), ("p", 2, 4.0), ("p", 3, 3.0), ("r", 0, 1.0)]
+    tried = spark.createDataFrame(rows, "pool string, start int, log_det double")
+    assert {(r.pool, r.start) for r in q._least(tried, 2).collect()} == {("p", 1), ("p", 3), ("r", 0)}
+    assert {(r.pool, r.start) for r in q._least(tried, 1).collect()} == {("p", 1), ("r", 0)}
+
+
 def test_distance_equals_numpy(spark):
     points = [[1000, 0, 100, 0], [1500, 200, 0, 50]]
     estimate = spark.createDataFrame([("p", 900.0, 100.0, 50.0, 20.0, 200.0, 10.0, 150.0, 5.0, 7.0, 220.0, 1.0, 2.0, 3.0, 160.0)],
@@ -102,7 +186,10 @@ def test_small_groups_pool(spark):
 
 def test_chi2():
     assert abs(q._chi2_quantile(0.95, 4) - 9.4877) < 1e-3 and abs(q._chi2_cdf(5.385, 4) - 0.75) < 1e-3
-    assert math.isclose(q.CONSISTENCY, 1.4867, rel_tol=1e-2)
+    assert math.isclose(q._consistency(0.75), 1.4867, rel_tol=1e-2)
+    draws = np.sort((np.random.default_rng(1).standard_normal((200_000, 4)) ** 2).sum(axis=1))
+    nearest = draws[:int(q.SUBSET * len(draws))]
+    assert math.isclose(q.CONSISTENCY, 4 / nearest.mean(), rel_tol=1e-2)
 
 
 def test_keep_quality_columns(odd, empty):

@@ -1,15 +1,17 @@
 """Personal data by weak supervision, as DataFrame expressions.
 
 Base spans (email, ip, card, phone) come from fixed patterns. Further candidates are runs of
-letters, digits and ``+/_-`` with a digit among them. Four labelers vote on each (private, not
-private, or no opinion): shapes of keys and numbers (regex), names before the run (gazetteer),
-assignment and path signs around it (context), and the mix of its characters. Expectation
+letters, digits and ``+/_-`` with a digit among them, account numbers in groups of four, and whatever is assigned to
+a private name (``password: ...``). Five labelers vote on each (private, not
+private, or no opinion): shapes of keys and numbers (regex), lists that the span itself is looked up in (gazetteer:
+account countries with their lengths, beginnings of known keys, words that stand in for values), names before the
+span and assignment and path signs around it (context), and the mix of its characters. Expectation
 maximisation over the counts of vote patterns estimates how reliable each labeler is; its
 posteriors train the final span classifier, a naive Bayes over features of the span. Accepted
 candidates are added to the base spans.
 
 One pass over the texts writes spans and candidates, a few numbers a row; nothing else reads
-texts and no text shuffles. What the driver sees are counts of vote patterns (81 at most) and of
+texts and no text shuffles. What the driver sees are counts of vote patterns (243 at most) and of
 feature values, aggregated over all candidates.
 """
 
@@ -36,7 +38,12 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{8,}+"
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{8,}+"
+_GROUPED = r"[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}+(?: [A-Z0-9]{1,3})?+"
+# the short look behind comes first: the one for names is tried behind an assignment sign only
+_ASSIGNED = (r"(?<=[=:]\s{0,2}[\"']?)(?<=(?i:password|passwd|passwort|kennwort|passe|contraseña|pwd|secret|token|api.?key)"
+             r"[\"']?\s{0,2}[=:]\s{0,2}[\"']?)(?:[^\s\"',;.<>]|\.(?=[^\s\"',;.<>])){4,}+")
+CANDIDATE = rf"(?<![A-Za-z0-9]){_GROUPED}(?![A-Za-z0-9])|{_RUN}|{_ASSIGNED}"
 KINDS = list(PATTERNS)
 ADDED = "secret"
 
@@ -45,13 +52,27 @@ _ONLY_DIGITS = "[^0-9]"
 
 # ---- labelers' lists ---------------------------------------------------------------------------
 KEY_SHAPES = (r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[a-z]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{16,}"
-              r"|[0-9a-f]{16,}|[0-9A-F]{16,}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9-]{13,23})$")
+              r"|[0-9a-f]{16,}|[0-9A-F]{16,}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9-]{13,23}"
+              rf"|{_GROUPED})$")
 PLAIN_SHAPES = (r"^(?:[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4}|[0-9]{1,12}"
                 r"|[A-Za-z]{3,}[-_]?[0-9]{1,4}|[0-9]{1,4}[-_]?[A-Za-z]{3,}|[vV]?[0-9]+(?:[-_][0-9]+)*)$")
 PRIVATE_NAMES = (r"(?i)(?:password|passwd|passwort|contrase|pwd|token|secret|api.?key|access.?key|key|auth|bearer"
                  r"|credential|ssn|iban|passport|account|konto|compte|cuenta)[^A-Za-z0-9]{1,6}$")
 PUBLIC_NAMES = (r"(?i)(?:version|licen[cs]e|copyright|page|chapter|figure|table|section|volume|isbn|issn|doi|rfc|iso"
                 r"|https?|www)[^A-Za-z0-9]{0,6}$")
+# Gazetteer; fixed values: lengths of account numbers by country, beginnings of issued keys, and words that
+# follow a private name without being its value.
+ACCOUNT_LENGTHS = {
+    "AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
+    "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19,
+    "SK": 24, "TR": 26}
+KEY_BEGINNINGS = ("AKIA", "ASIA", "AIza", "eyJ", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_",
+                  "pk_live_", "xoxb-", "xoxp-", "npm_", "pypi-")
+STAND_INS = ("your", "the", "this", "that", "none", "null", "true", "false", "required", "optional", "string", "value",
+             "example", "unknown", "invalid", "expired", "forgotten", "missing", "empty", "default", "undefined",
+             "hidden", "redacted", "removed", "here", "must", "please", "enter", "what", "when", "with", "votre",
+             "ihre", "dein", "bitte", "requis", "requerido", "xxxx", "****", "********")
 
 
 def _fold(items: Column, empty: Column, add) -> Column:
@@ -138,6 +159,14 @@ def _distinct_chars(x: Column) -> Column:
     return F.size(F.array_distinct(F.split(x, "")))
 
 
+def _fits_account(match: Column) -> Column:
+    """An account number, grouped or not, of a listed country and of its length."""
+    lengths = F.create_map(*[F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair])
+    compact = F.replace(match, F.lit(" "), F.lit(""))
+    return compact.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]+$") & F.coalesce(
+        F.try_element_at(lengths, F.left(compact, F.lit(2))) == F.char_length(compact), F.lit(False))
+
+
 #: Votes in {-1, 0, 1}; the candidate is a struct of start, end, match, left, right.
 def _votes(c: Column) -> dict[str, Column]:
     match, left = c["match"], c["left"]
@@ -145,13 +174,15 @@ def _votes(c: Column) -> dict[str, Column]:
     return {
         "shape": F.when(match.rlike(KEY_SHAPES), 1).when(match.rlike(PLAIN_SHAPES), -1).otherwise(0),
         "name": F.when(left.rlike(PRIVATE_NAMES), 1).when(left.rlike(PUBLIC_NAMES), -1).otherwise(0),
+        "list": F.when(_fits_account(match) | reduce(lambda a, b: a | b, [match.startswith(k) for k in KEY_BEGINNINGS]), 1)
+                 .when(F.lower(match).isin(*STAND_INS) | match.rlike(f"^{_GROUPED}$"), -1).otherwise(0),
         "place": F.when(left.rlike("[A-Za-z_]\\s*[=:]\\s*[\"']?$"), 1)
                   .when(left.rlike("(?:[/.#@&?]|://\\S*)$"), -1).otherwise(0),
         "mix": F.when((turns >= 5) & (_distinct_chars(match) >= 8), 1).when(turns <= 2, -1).otherwise(0),
     }
 
 
-LABELERS = ("shape", "name", "place", "mix")
+LABELERS = ("shape", "list", "name", "place", "mix")
 
 
 #: Features of the final classifier, each a small integer.
@@ -165,11 +196,12 @@ def _features(c: Column) -> dict[str, Column]:
         "hex": F.when(match.rlike("^[0-9a-f]+$"), 2).when(match.rlike("^[0-9A-F]+$"), 1).otherwise(0),
         "before": F.when(c["left"].rlike("[=:\"']\\s*$"), 2).when(c["left"].rlike("\\s$"), 1).otherwise(0),
         "named": F.when(c["left"].rlike(PRIVATE_NAMES), 1).otherwise(0),
+        "listed": F.when(_fits_account(match), 1).when(F.lower(match).isin(*STAND_INS), -1).otherwise(0),
         "distinct": F.least(F.floor(_distinct_chars(match) / 3), F.lit(6)),
     }
 
 
-FEATURES = ("length", "digits", "upper", "lower", "hex", "before", "named", "distinct")
+FEATURES = ("length", "digits", "upper", "lower", "hex", "before", "named", "listed", "distinct")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -226,7 +258,7 @@ def train(found: DataFrame) -> tuple[float, dict[tuple[str, int], float]]:
     """Naive Bayes in log odds: the bias and the weight of every (feature, value)."""
     each = found.select(F.explode("candidates").alias("c")).select("c.*")
     votes = [f"v_{k}" for k in LABELERS]
-    counted = each.groupBy(*votes).agg(F.count("*").alias("n")).collect()  # 3**4 rows at most
+    counted = each.groupBy(*votes).agg(F.count("*").alias("n")).collect()  # 3**5 rows at most
     patterns = {tuple(r[v] for v in votes): r.n for r in counted}
     if not patterns:
         return -1.0, {}
@@ -255,9 +287,10 @@ def _accepted(c: Column, bias: float, weights: dict[tuple[str, int], float]) ->
             if feature == name:
                 own = F.when(c[f"f_{name}"] == value, round(weight, 6)).otherwise(own)
         odds = odds + own
-    # a vote of confidence beside the odds: some labeler must be for it
+    # a vote of confidence beside the odds: some labeler must be for it. A listed stand-in is never a value,
+    # however private the name before it is
     named = reduce(lambda a, b: a | b, [c[f"v_{k}"] == 1 for k in LABELERS])
-    return (odds > 0) & named
+    return (odds > 0) & named & (c["f_listed"] != -1)
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from screenroi.functions.domain import performance_key
+from screenroi.operators.incremental import FactStore, with_made_ids, without_made_ids
 from screenroi.operators.licensing import pick_license
 from screenroi.operators.metrics import NO_YEAR, content_performance
-from screenroi.operators.warehouse import STAGING_SCHEMA, Warehouse, load_staging
+from screenroi.operators.quality import fact_checks, fact_state, repeated_keys
+from screenroi.operators.warehouse import STAGING_SCHEMA, Warehouse, fact_rows, load_staging
 from screenroi.plans import catalog
 from screenroi.session import TASK_INPUT, size_shuffles, stored
 from screenroi.sources import bindings as b
@@ -60,6 +62,8 @@ def test_flows_are_sized_by_their_tables(spark, own, monkeypatch):
     monkeypatch.setattr("screenroi.session.TASK_INPUT", size // 30)
     flow = catalog.Flow(spark, SF, fresh=True)
     assert flow.tasks in (30, 31) and spark.conf.get(KEYS[0]) == str(flow.tasks)
+    # a task sorts a bucket, so buckets are as many
+    assert len(parts(catalog._bucketed(flow)["fact"].inputFiles()[0].rsplit("/", 1)[0])) > 8
 
 
 def test_staging_is_stored_without_made_ids(spark):
@@ -94,3 +98,37 @@ def test_written_ids_are_packed(spark, scratch):
     assert wh.load(made(spark, [2000, 2001])) | {"dim_region": 0} == {"dim_title": 40, "dim_region": 0, "dim_date": 0, "fact_content_performance": 80}
     assert all(".zstd." in n for n in parts(stored(made(spark, [2000]), "packed").inputFiles()[0].rsplit("/", 1)[0]))
     assert any(".zstd." in n for n in parts(f"{scratch}/wh/fact_content_performance"))
+
+
+def test_ids_that_are_not_made_stay(spark):
+    facts = fact_rows(made(spark, [2000]).unionByName(staging(spark, [2001])))
+    slim = without_made_ids(facts)
+    assert slim.filter("__own_id IS NULL").count() == 40 and slim.filter("__own_id IS NOT NULL").count() == 6
+    assert rows(with_made_ids(slim)) == rows(facts) and with_made_ids(slim).columns == facts.columns
+
+
+def test_the_state_of_a_load_moves_no_ids(spark, scratch):
+    batch = made(spark, [2000, 2001])
+    batch = fact_rows(batch.unionByName(batch.filter("year = 2000 AND total_watch_hours < 3")).unionByName(staging(spark, [2003])))
+    batch = batch.withColumn("performance_id", F.when(F.col("date_id") != 20030101, F.col("performance_id")))
+    assert repeated_keys(batch, "performance_id").first()[0] == 4  # three, and null
+    got = {r.name: r.n for r in fact_state(batch).filter("kind = 'rule'").collect()}
+    want = {r.rule: r.violations for r in fact_checks(batch, 1000).collect()}
+    assert got["performance_id_unique"] == 4 == want["performance_id_unique"] and got["fact_performance_id_not_null"] == 6
+    assert got["fact_rows"] == 89 and {k: v for k, v in want.items() if k in got} == {k: v for k, v in got.items() if k in want}
+    assert not any("performance_id" in line for line in physical(fact_state(batch)).split("\n") if "Exchange hashpartitioning(__hash" in line)
+    assert repeated_keys(batch.limit(0), "performance_id").first()[0] == 0
+
+
+def test_digests_are_sent_in_place_of_the_batch(spark, scratch):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = FactStore(spark, f"{scratch}/store")
+        first, second = made(spark, [2000, 2001]), made(spark, [2001, 2002])
+        assert store.load(first) == 80 and "BroadcastHashJoin [date_id" in physical(store.new_rows(second))
+        assert store.load(second) == 40 and store.load(second) == 0
+        assert rows(store.table()) == rows(fact_rows(first.unionByName(second.filter("year = 2002"))))
+        assert "hashpartitioning(date_id" not in "".join(l for l in physical(store.new_rows(second)).split("\n") if "slot" in l and "__slot" in l)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenroi.llm.common import ship_package, text_or_empty
-from screenroi.llm.tokens import CHUNK_BYTES, Encoder, slices, tokenizer_path
+from screenroi.llm.tokens import Encoder, slices, tokenizer_path
 
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 1 << 17
+#: Bytes of text laid out at a time: it is done once a core, beside a heap that the stages of a pipeline have filled.
+SLICE_BYTES = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -38,11 +40,12 @@ def _cutter(tokenizer: str, capacity: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text", CHUNK_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, ends = encoder.encode(part.column("text"))
                 ids = np.insert(ids, ends[1:], end_id)
                 sizes = np.diff(ends) + 1
                 yield _pieces(part.column("doc_id"), ids, sizes, capacity)
+            pa.default_memory_pool().release_unused()  # Arrow keeps what a worker once took
 
     return cut
 

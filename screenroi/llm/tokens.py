@@ -27,10 +27,12 @@ import pyarrow.compute as pc
 #: A blank next to white space of any kind (by Python's, Rust's or Unicode's notion).
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 TOUCHING = f"{_WHITE} | {_WHITE}"
-#: Bounds on what a worker keeps: pieces, and bytes of text in them. Bytes laid out at a time.
-CACHE_PIECES = 800_000
+#: Bounds on what a worker keeps: pieces (a dict of 700,000 doubles), and bytes of text in them. Bytes laid out, and
+#: pieces encoded, at a time.
+CACHE_PIECES = 690_000
 CACHE_BYTES = 48 << 20
 CHUNK_BYTES = 6 << 20
+ENCODE_PIECES = 8192
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -104,22 +106,25 @@ class Encoder:
             self._reset()
         known = self.known
         new = [p for p in pieces if p not in known]
-        if new:
-            found = [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            n = len(known)
-            at = int(self.starts[n])
-            need = at + int(sizes.sum())
-            if need > len(self.ids):
-                self.ids = np.concatenate([self.ids[:at], np.empty(max(need, 2 * len(self.ids)) - at, np.uint32)])
-            self.ids[at:need] = np.array(list(chain.from_iterable(found)), np.uint32)
-            if n + len(new) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros(max(len(new) + 1, len(self.starts)), np.int64)])
-            self.starts[n + 1:n + 1 + len(new)] = at + np.cumsum(sizes)
-            known.update(zip(new, range(n, n + len(new)), strict=True))
-            self.kept_bytes += sum(map(len, new))
+        for a in range(0, len(new), ENCODE_PIECES):
+            self._learn(new[a:a + ENCODE_PIECES])
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
+    def _learn(self, new: list[bytes]) -> None:
+        found = [e.ids for e in self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        n = len(self.known)
+        at = int(self.starts[n])
+        need = at + int(sizes.sum())
+        if need > len(self.ids):
+            self.ids = np.concatenate([self.ids[:at], np.empty(max(need, 2 * len(self.ids)) - at, np.uint32)])
+        self.ids[at:need] = np.array(list(chain.from_iterable(found)), np.uint32)
+        if n + len(new) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(max(len(new) + 1, len(self.starts)), np.int64)])
+        self.starts[n + 1:n + 1 + len(new)] = at + np.cumsum(sizes)
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
+        self.kept_bytes += sum(map(len, new))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets) of the texts, nulls as empty: text k has ids[offsets[k]:offsets[k + 1]]."""
         data, ends = utf8_bytes(texts)

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from screenroi.llm.packing import LocalSearch, best_fit, pack, pack_documents
@@ -57,6 +58,32 @@ def test_encoder_cache_bound(monkeypatch):
         assert len(encoder.known) <= 26
 
 
+def test_encoder_takes_pieces_in_blocks():
+    import screenroi.llm.packing as packing
+
+    encoder = Encoder(tokenizer_path())
+    library, calls = encoder.tok, []
+
+    class Seen:
+        def encode_batch_fast(self, pieces, **options):
+            calls.append(len(pieces))
+            return library.encode_batch_fast(pieces, **options)
+
+    encoder.tok = Seen()
+    text = " ".join(f"w{k}x{k * k}" for k in range(20000))
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == ids_of(text)[:-1] and len(calls) > 2 and max(calls) <= 8192
+
+    laid_out = []
+    encoder.encode = lambda texts: laid_out.append(pc.sum(pc.binary_length(texts)).as_py()) or Encoder.encode(encoder, texts)
+    Encoder._own["seen"] = encoder
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(9)), "text": pa.array([text * 2] * 9)})
+    out = list(packing._cutter("seen", 1024, 2)(iter([batch])))
+    del Encoder._own["seen"]
+    assert sum(sum(o.column("length").to_pylist()) for o in out) == 9 * len(ids_of(text * 2))
+    assert len(out) > 1 and max(laid_out) <= 2 << 20 < sum(laid_out)
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_bit_packing(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 1001).astype(np.uint32)

@@ -66,6 +66,18 @@ def test_flows_are_sized_by_their_tables(spark, own, monkeypatch):
     assert len(parts(catalog._bucketed(flow)["fact"].inputFiles()[0].rsplit("/", 1)[0])) > 8
 
 
+@pytest.mark.parametrize("name", ["output_conformance", "licence_gate", "content_performance"])
+def test_users_of_the_pick_are_dealt_by_their_input(spark, own, monkeypatch, name):
+    size = sum(os.path.getsize(f"{SF}/{t}") for t in catalog.READ)
+    monkeypatch.setattr("screenroi.session.TASK_INPUT", size // 30)
+    plan = physical(catalog.QUERIES[name](spark, SF))
+    tasks = spark.conf.get(KEYS[0])
+    assert tasks in ("30", "31")
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert dealt and all(f", {tasks}), " in line for line in dealt)
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) == 1  # the pick, which is not coalesced
+
+
 def test_staging_is_stored_without_made_ids(spark):
     flow = catalog.Flow(spark, SF, fresh=True)
     found = flow.staging

@@ -3,7 +3,8 @@
 ``FactStore`` keeps the fact in folders by ``date_id`` with a digest of the stored keys of each. A load looks its
 batch up in the digests first: rows that are surely new go straight on, the others meet the stored keys of their
 own dates alone (partitions pruned by the batch, at run time). A ``performance_id`` is made of title, region and year, so
-a key is always stored under the date of its year; for keys that are not, use ``warehouse.new_fact_rows``.
+a key is always stored under the date of its year; for keys that are not, use ``warehouse.new_fact_rows``. Such ids are
+neither moved nor stored (64 digits that do not pack): files hold an id only where it is another, ``table`` gives all.
 
 Each load leaves its state of the quality rules beside the fact, so that the report after many loads reads the
 states and the dimensions, no facts.
@@ -31,11 +32,11 @@ KEY, DATE = "performance_id", "date_id"
 _LEAST_DATE = -(1 << 31)
 #: Digests of the dates of a batch up to so many bytes are sent to every task, in place of dealing the batch by them.
 BROADCAST_DIGESTS = 32 << 20
-_OWN = "__own_id"
+_OWN, _HASH, _THEIR = "__own_id", "__hash", "__their_"
 
 
-def _made_id() -> Column:
-    return performance_key(F.col("title_id"), F.col("region_code"), F.expr(f"{DATE} div 10000"))
+def _made_id(prefix: str = "") -> Column:
+    return performance_key(F.col(f"{prefix}title_id"), F.col(f"{prefix}region_code"), F.expr(f"{prefix}{DATE} div 10000"))
 
 
 def without_made_ids(facts: DataFrame) -> DataFrame:
@@ -48,6 +49,16 @@ def with_made_ids(facts: DataFrame) -> DataFrame:
     return facts.withColumn(KEY, F.coalesce(F.col(_OWN), _made_id())).select(*FACT_SCHEMA.fieldNames())
 
 
+def absent_facts(facts: DataFrame, others: DataFrame) -> DataFrame:
+    """``facts`` whose date and id are not among those of ``others``. Both are dealt by hashes without made ids, which are
+    compared as made again where they meet."""
+    mine, theirs = (without_made_ids(df.withColumn(_HASH, F.xxhash64(KEY))) for df in (facts, others))
+    theirs = theirs.select(*[F.col(c).alias(f"{_THEIR}{c}") for c in (_HASH, DATE, "title_id", "region_code", _OWN)])
+    same_id = F.coalesce(F.col(_OWN), _made_id()) == F.coalesce(F.col(f"{_THEIR}{_OWN}"), _made_id(_THEIR))
+    meets = (F.col(_HASH) == F.col(f"{_THEIR}{_HASH}")) & (F.col(DATE) == F.col(f"{_THEIR}{DATE}")) & same_id
+    return with_made_ids(mine.join(theirs, meets, "left_anti"))
+
+
 class FactStore:
     """The fact under ``root``: ``fact/load=N/date_id=.../``, ``digest/load=N/`` (date_id, slot, bits) and ``state/load=N/``
     (quality rules). A load counts from the moment its facts are finished."""
@@ -69,7 +80,7 @@ class FactStore:
         if not paths:
             return None
         rows = self.spark.read.schema(FACT_SCHEMA).option("basePath", f"{self.root}/fact").parquet(*paths)
-        return rows.select(*FACT_SCHEMA.fieldNames())
+        return rows.withColumn(KEY, F.coalesce(F.col(KEY), _made_id())).select(*FACT_SCHEMA.fieldNames())
 
     def digests(self) -> DataFrame | None:
         """Digests of the stored keys of each date, of all loads together; bounded by dates and words."""
@@ -96,8 +107,7 @@ class FactStore:
         maybe, new = split_by_digest(batch, KEY, met, [DATE], self.words)
         # a comparison, if one that all dates pass, lets Spark prune the table's partitions by what it finds at run time
         touched = maybe.select(DATE).filter(F.col(DATE) >= _LEAST_DATE).distinct()
-        keys = table.select(DATE, KEY).join(F.broadcast(touched), DATE, "left_semi")
-        return new.unionByName(maybe.join(keys, [DATE, KEY], "left_anti").select(*batch.columns))
+        return new.unionByName(absent_facts(maybe, table.join(F.broadcast(touched), DATE, "left_semi")))
 
     def load(self, staging: DataFrame, dedupe: bool = False) -> int:
         """Appends the new facts and returns their number. The digest goes first: a load that breaks off in
@@ -107,7 +117,7 @@ class FactStore:
         number = max(self._loads("digest"), default=-1) + 1
         key_digest(rows, KEY, [DATE], self.words).write.mode("overwrite").parquet(f"{self.root}/digest/load={number}")
         fact_state(rows).write.mode("overwrite").parquet(f"{self.root}/state/load={number}")
-        dealt = with_made_ids(by_partition(slim, [DATE]))
+        dealt = by_partition(slim, [DATE]).withColumnRenamed(_OWN, KEY).select(*FACT_SCHEMA.fieldNames())
         dealt.sortWithinPartitions(DATE, "region_code", "title_id").write.mode("overwrite").option("compression", CODEC).partitionBy(
             DATE).parquet(f"{self.root}/fact/load={number}")
         return rows.count()

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from screenroi.functions.domain import performance_key
-from screenroi.operators.incremental import FactStore, with_made_ids, without_made_ids
+from screenroi.operators.cleaners import clean_watch_history
+from screenroi.operators.incremental import FactStore, absent_facts, with_made_ids, without_made_ids
 from screenroi.operators.licensing import pick_license
 from screenroi.operators.metrics import NO_YEAR, content_performance
 from screenroi.operators.quality import fact_checks, fact_state, repeated_keys
@@ -144,3 +145,65 @@ def test_digests_are_sent_in_place_of_the_batch(spark, scratch):
         assert "hashpartitioning(date_id" not in "".join(l for l in physical(store.new_rows(second)).split("\n") if "slot" in l and "__slot" in l)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def exchanges(df):
+    return [line for line in physical(df).split("\n") if "Exchange hashpartitioning(" in line]
+
+
+def test_facts_are_stored_without_made_ids(spark, scratch):
+    store = FactStore(spark, f"{scratch}/store")
+    first = made(spark, [2000, 2001]).unionByName(staging(spark, [2001]))
+    assert store.load(first) == 86 and rows(store.table()) == rows(fact_rows(first))
+    kept = spark.read.parquet(f"{scratch}/store/fact/load=0")
+    assert kept.filter("performance_id IS NULL").count() == 80 and kept.filter("performance_id IS NOT NULL").count() == 6
+    fact_rows(made(spark, [2002])).write.partitionBy("date_id").parquet(f"{scratch}/store/fact/load=1")  # with all ids, as older files
+    assert rows(store.table()) == rows(fact_rows(first.unionByName(made(spark, [2002]))))
+
+
+def test_stored_facts_are_met_without_their_ids(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = fact_rows(made(spark, [2000, 2001])).localCheckpoint()
+        other = fact_rows(staging(spark, [2000, 2002])).localCheckpoint()
+        # rows of another title that bear an id made of a stored one, under its date and another
+        like = known.filter("date_id = 20000101").limit(1).withColumn("title_id", F.lit("else")).localCheckpoint()
+        facts = known.filter("date_id = 20000101").unionByName(other).unionByName(like).unionByName(like.withColumn("date_id", F.lit(20030101))).localCheckpoint()
+        found = absent_facts(facts, known)
+        assert rows(found) == rows(facts.join(known, ["date_id", "performance_id"], "left_anti").select(*facts.columns)) and found.count() == 13
+        assert found.columns == facts.columns and absent_facts(known, facts).count() == 40
+        join = absent_facts(facts, known)._jdf.queryExecution().optimizedPlan()
+        while join.nodeName() == "Project":
+            join = join.children().head()
+        moved = [str(side.output()) for side in (join.children().head(), join.children().last())]
+        assert join.nodeName() == "Join" and not any("performance_id" in names for names in moved) and "__hash" in moved[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_plays_leave_behind_what_is_not_read(spark):
+    raw = b.watch_history_raw(b.Tables(spark, SF))
+    again = raw.withColumns({"Session ID": F.regexp_replace("Session ID", "-.*", ""), "device_type": F.lit("x")})  # many rows a session
+    for source in (raw, again):
+        whole = clean_watch_history(source)
+        short = clean_watch_history(source, last="region")
+        assert short.columns == whole.columns[:10] and rows(short) == rows(whole.select(*short.columns))
+    assert not {"is_download", "user_rating"} & set(short.columns)
+    flow = catalog.Flow(spark, SF, fresh=True)
+    assert "l_tax" in physical(flow.watch) and not any("l_tax" in physical(df) for df in (flow.usage, flow.content_performance))
+    kept = spark.read.parquet(*flow.curated_watch.inputFiles())
+    assert sorted(kept.columns) == sorted(catalog.PLAY_COLUMNS) and rows(kept) == rows(flow.watch.select(*kept.columns))
+
+
+def test_suppliers_are_sent_to_order_lines(spark, monkeypatch):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = b.licensing_raw(b.Tables(spark, SF))
+        assert not any("l_suppkey" in line.split("[plan_id")[0] for line in exchanges(sent))
+        monkeypatch.setattr(b, "SENT_SUPPLIERS", 0)
+        dealt = b.licensing_raw(b.Tables(spark, SF))
+        assert any("l_suppkey" in line for line in exchanges(dealt)) and rows(sent) == rows(dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -15,6 +15,7 @@ from screenroi.operators.warehouse import STAGING_SCHEMA, Warehouse, fact_rows,
 from screenroi.plans import catalog
 from screenroi.session import TASK_INPUT, size_shuffles, stored
 from screenroi.sources import bindings as b
+from screenroi.sources import files
 
 from conftest import rows
 from test_incremental import physical, staging
@@ -207,3 +208,18 @@ def test_suppliers_are_sent_to_order_lines(spark, monkeypatch):
         assert any("l_suppkey" in line for line in exchanges(dealt)) and rows(sent) == rows(dealt)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_content_performance_is_dealt_without_made_ids(spark, scratch, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(files, "by_partition", lambda df, columns, f=files.by_partition: dealt.append(df) or f(df, columns))
+    data = [(f"t{i}", r, y, float(i)) for i in range(9) for r in ("US", None, "") for y in (2000, None)]
+    cp = spark.createDataFrame(data, "title_id string, region string, year int, hours double")
+    key = performance_key(F.col("title_id"), F.col("region"), F.col("year"))
+    cp = cp.select(F.when(F.col("hours") == 1, F.lit("own")).when(F.col("hours") != 2, key).alias("performance_id"), *cp.columns)
+    files.write_content_performance(cp, f"{scratch}/cp")
+    back = spark.read.parquet(f"{scratch}/cp")
+    assert back.columns == [*cp.columns, "region_partition", "year_partition"]
+    assert rows(back.select(*cp.columns)) == rows(cp) and back.filter("performance_id IS NULL").count() == 6 == back.filter("performance_id = 'own'").count()
+    assert dealt[0].columns == [*cp.columns[1:], "__own"] and dealt[0].filter("__own IS NULL").count() == 42
+    assert back.filter("year_partition <=> year").count() == 54 and all(".zstd." in f for f in back.inputFiles())
